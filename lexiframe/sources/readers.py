@@ -31,7 +31,14 @@ def read_feature_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_texts(spark: SparkSession, path: str, id_pattern: str = r"(\d+)\.txt$") -> DataFrame:
     """One document per file; the id comes from the file path. Undecodable bytes become U+FFFD."""
-    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    # List folders in a few tasks per core; the default is one task per folder.
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    finally:
+        spark.conf.set(setting, before)
     return files.select(
         F.regexp_extract(F.input_file_name(), id_pattern, 1).cast("bigint").alias("doc_id"),
         F.col("value").alias("text"),
