@@ -11,7 +11,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiframe.operators.ranking import exact_quantiles
+from lexiframe.operators.ranking import exact_quantiles, long_values
 
 
 def wide(df: DataFrame, vector: str, dims: int, keep: list[str], prefix: str = "f") -> DataFrame:
@@ -53,10 +53,27 @@ def clip_columns(df: DataFrame, cols: list[str], bound: float = 5.0) -> DataFram
     return winsorize(df, {c: (-bound, bound) for c in cols})
 
 
+def column_statistics(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``(i, n, mean, std_pop, var_samp)`` per column number.
+
+    Columns are turned into rows before the aggregation: a few aggregates over many groups stay inside compiled
+    code, while several aggregates for each of hundreds of columns do not.
+    """
+    return long_values(df, cols).groupBy("i").agg(
+        F.count("v").alias("n"),
+        F.avg("v").alias("mean"),
+        F.stddev_pop("v").alias("std_pop"),
+        F.var_samp("v").alias("var_samp"),
+    )
+
+
 def rank_by_variance(df: DataFrame, cols: list[str]) -> DataFrame:
-    """``(feature, value)`` by falling sample variance, from one aggregate over all columns."""
-    row = df.agg(*[F.var_samp(f"`{c}`").alias(c) for c in cols])
-    return unpivot(row, [], cols).orderBy(F.desc("value"), "feature")
+    """``(feature, value)`` by falling sample variance."""
+    names = F.array(*[F.lit(c) for c in cols])
+    stats = column_statistics(df, cols)
+    return stats.select(F.get(names, F.col("i")).alias("feature"), F.col("var_samp").alias("value")).orderBy(
+        F.desc("value"), "feature"
+    )
 
 
 def interaction_names(df: DataFrame, cols: list[str], top_n: int = 10) -> list[tuple[str, str]]:
@@ -70,11 +87,8 @@ def with_interactions(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
 
 def fit_standard(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation; a constant column gets a divisor of 1."""
-    row = df.agg(
-        *[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(cols)],
-        *[F.stddev_pop(f"`{c}`").alias(f"s{i}") for i, c in enumerate(cols)],
-    ).first()
-    return {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(cols)}
+    stats = {r["i"]: r for r in column_statistics(df, cols).collect()}
+    return {c: (stats[i]["mean"], stats[i]["std_pop"] or 1.0) if i in stats else (0.0, 1.0) for i, c in enumerate(cols)}
 
 
 def fit_robust(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]:

@@ -3,7 +3,7 @@ so a task that is run again after the loss of an executor makes the same choices
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiframe.operators.neighbours import BLOCK_ROWS, nearest
@@ -121,12 +121,15 @@ def oversample(
 def with_noise(df: DataFrame, cols: list[str], row_id: str, sigma: float = 0.1, seed: int = 42) -> DataFrame:
     """Add Gaussian noise of deviation ``sigma`` to the columns, by Box-Muller from hashed uniforms."""
 
-    def noise(name: str):
-        text = F.concat_ws(":", F.lit(seed), F.col(row_id), F.lit(name))
-        return F.sqrt(-2.0 * F.log(hash_unit(text))) * F.cos(2.0 * F.pi() * hash_unit(text, 9))
+    names = F.array(*[F.lit(c) for c in cols])
 
-    new = {c: (F.col(f"`{c}`") + sigma * noise(c)).alias(c) for c in cols}
-    return df.select(*[new.get(c, F.col(f"`{c}`")) for c in df.columns])
+    def noisy(value: Column, i: Column) -> Column:
+        text = F.concat_ws(":", F.lit(seed), F.col(row_id), F.get(names, i))
+        return value + sigma * F.sqrt(-2.0 * F.log(hash_unit(text))) * F.cos(2.0 * F.pi() * hash_unit(text, 9))
+
+    values = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
+    drawn = df.withColumn("_noisy", F.transform(values, noisy))
+    return drawn.select(*[F.col("_noisy")[cols.index(c)].alias(c) if c in cols else F.col(f"`{c}`") for c in df.columns])
 
 
 def with_class_weights(df: DataFrame, label: str, weight: str = "weight") -> DataFrame:
