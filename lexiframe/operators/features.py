@@ -99,3 +99,8 @@ def fit_robust(df: DataFrame, cols: list[str]) -> dict[str, tuple[float, float]]
 
 def rescale(df: DataFrame, centres: dict[str, tuple[float, float]]) -> DataFrame:
     return _replaced(df, {c: (F.col(f"`{c}`").cast("double") - m) / s for c, (m, s) in centres.items()})
+
+
+def plain_names(df: DataFrame, keep: list[str], cols: list[str]) -> DataFrame:
+    """The columns under plain names ``c0, c1, ...``, for stages that cannot quote a name."""
+    return df.select(*keep, *[F.col(f"`{c}`").cast("double").alias(f"c{i}") for i, c in enumerate(cols)])
