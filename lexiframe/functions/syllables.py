@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lexiframe.functions.tokens import let
+
 # Words whose syllables are given rather than estimated.
 SYLLABLE_EXCEPTIONS = {
     "the": 1,
@@ -34,33 +36,39 @@ def _vowel_groups(word: Column) -> Column:
     return F.regexp_count(word, F.lit("[aeiouy]+"))
 
 
-def syllables(word: Column) -> Column:
+def syllables(word: Column, lowered: bool = False) -> Column:
     """Vowel groups with a silent-e, a consonant+le and a glide correction; at least 1, empty word 0."""
-    w = F.lower(word)
+    w = word if lowered else F.lower(word)
     groups = _vowel_groups(w)
     ends = (
-        F.when(w.rlike("[^aeiouy]le$"), groups + 1)
-        .when(w.endswith("e") & ~w.endswith("le"), F.greatest(groups - 1, F.lit(1)))
+        F.when(w.endswith("le"), groups + w.rlike("[^aeiouy]le$").cast("int"))
+        .when(w.endswith("e"), F.greatest(groups - 1, F.lit(1)))
         .otherwise(groups)
     )
-    glides = sum((F.when(F.contains(w, F.lit(g)), 1).otherwise(0) for g in GLIDES), F.lit(0))
+    glides = sum((F.contains(w, F.lit(g)).cast("int") for g in GLIDES), F.lit(0))
     return F.when(w == "", 0).otherwise(F.greatest(ends - glides, F.lit(1)))
 
 
-def syllables_refined(word: Column) -> Column:
+def syllables_refined(word: Column, lowered: bool = False) -> Column:
     """Exception table, suffix stripping, single vowels less glides, and e/le/y endings."""
-    w = F.lower(word)
+    w = word if lowered else F.lower(word)
     known = F.try_element_at(F.create_map(*[F.lit(x) for kv in SYLLABLE_EXCEPTIONS.items() for x in kv]), w)
+    shorter = F.substring(w, F.lit(1), F.length(w) - 2)
     stem = (
-        F.when(w.endswith("es") & ~w.rlike("(ies|ves|oes)$"), F.substring(w, F.lit(1), F.length(w) - 2))
-        .when(w.endswith("ed") & ~w.endswith("ied"), F.substring(w, F.lit(1), F.length(w) - 2))
+        F.when(w.endswith("es"), F.when(w.rlike("(ies|ves|oes)$"), w).otherwise(shorter))
+        .when(w.endswith("ed") & ~w.endswith("ied"), shorter)
         .otherwise(w)
     )
+    return F.when(w == "", 0).otherwise(F.coalesce(known, let(stem, _sounded)))
+
+
+def _sounded(stem: Column) -> Column:
     vowels = F.regexp_count(stem, F.lit("[aeiouy]"))
-    paired = sum(((F.length(stem) - F.length(F.replace(stem, F.lit(g), F.lit("")))) for g in GLIDES_WIDE), F.lit(0)) / 2
-    sounded = vowels - paired.cast("int")
-    silent = F.when(
-        stem.endswith("e") & ~stem.rlike("(le|ie|ee|oe)$"), F.greatest(sounded - 1, F.lit(1))
-    ).otherwise(sounded)
-    extra = F.when(stem.rlike("[^aeiouy](le|y)$"), 1).otherwise(0)
-    return F.when(w == "", 0).otherwise(F.coalesce(known, F.greatest(silent + extra, F.lit(1))))
+    paired = sum((F.octet_length(stem) - F.octet_length(F.replace(stem, F.lit(g), F.lit(""))) for g in GLIDES_WIDE), F.lit(0))
+    count = vowels - (paired / 2).cast("int")
+    ends = (
+        F.when(stem.endswith("e"), F.when(stem.rlike("(le|ie|ee|oe)$"), count).otherwise(F.greatest(count - 1, F.lit(1))))
+        .otherwise(count)
+    )
+    extra = F.when(stem.endswith("le") | stem.endswith("y"), stem.rlike("[^aeiouy](le|y)$").cast("int")).otherwise(0)
+    return F.greatest(ends + extra, F.lit(1))

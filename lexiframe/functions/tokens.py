@@ -118,7 +118,7 @@ def counted(tokens: Column) -> Column:
     def heads_of(ts: Column) -> Column:
         return F.filter(positions(ts), lambda i: (i == 0) | (F.get(ts, i) != F.get(ts, i - 1)))
 
-    return let(F.array_sort(tokens), lambda ts: let(heads_of(ts), lambda heads: runs(ts, heads)))
+    return let(F.sort_array(tokens), lambda ts: let(heads_of(ts), lambda heads: runs(ts, heads)))
 
 
 def merged_pairs(tokens: Column, pairs: Column, joiner: str = "_") -> Column:

@@ -27,14 +27,14 @@ def token_share(tokens: Column, items: list[str], total: Column) -> Column:
 
 def narrative_features() -> Features:
     return {
-        name: token_share(F.col("_tokens"), items, F.col("_n_tokens")) for name, items in wl.NARRATIVE_WORDS.items()
+        name: token_share(F.col("_listed"), items, F.col("_n_tokens")) for name, items in wl.NARRATIVE_WORDS.items()
     }
 
 
 def dialogue_feature(text: str = "text") -> Features:
     from lexiframe.operators.stylometry import count_marks
 
-    verbs = F.size(F.filter("_tokens", lambda t: t.isin(sorted(wl.SPEECH_VERBS))))
+    verbs = F.size(F.filter("_listed", lambda t: t.isin(sorted(wl.SPEECH_VERBS))))
     marks = count_marks(F.col(text), ['"', "'"])
     return {"dialogue_markers": rd.zero_default(rd.ratio(marks + verbs, F.col("_n_tokens")) * 100.0)}
 
@@ -46,31 +46,27 @@ def count_substrings(text: Column, terms: list[str]) -> Column:
     listed = F.array(*[F.lit(t) for t in terms])
 
     def count(t: Column) -> Column:
-        return F.aggregate(
-            listed,
-            F.lit(0).cast("bigint"),
-            lambda acc, term: acc
-            + ((F.octet_length(t) - F.octet_length(F.replace(t, term, F.lit("")))) / F.octet_length(term)).cast("bigint"),
-        )
+        def times(term: Column) -> Column:
+            saved = F.octet_length(t) - F.octet_length(F.replace(t, term, F.lit("")))
+            return (saved / F.octet_length(term)).cast("bigint")
+
+        # Most terms are absent from most texts, and a plain search is far cheaper than a replacement.
+        found = F.filter(listed, lambda term: F.contains(t, term))
+        return F.aggregate(found, F.lit(0).cast("bigint"), lambda acc, term: acc + times(term))
 
     return tk.let(text, count)
 
 
 def substring_rates(
-    text: str, lists: dict[str, list[str]], suffix: str, per: float = 1000.0, at_least: float | None = None
+    lists: dict[str, list[str]], suffix: str, per: float = 1000.0, at_least: float | None = None
 ) -> Features:
     """Substring counts per ``per`` words. ``at_least`` bounds the number of units from below.
 
-    Needs ``_words``, as made by ``with_parts``.
+    Needs ``_lower`` and ``_words``, as made by ``with_parts``.
     """
     words = F.size("_words")
-    if at_least is None:
-        return {
-            name.lower() + suffix: count_substrings(F.lower(F.col(text)), terms) / F.greatest(words, F.lit(1)) * per
-            for name, terms in lists.items()
-        }
-    units = F.greatest(words / per, F.lit(at_least))
-    return {name.lower() + suffix: count_substrings(F.lower(F.col(text)), terms) / units for name, terms in lists.items()}
+    units = F.greatest(words, F.lit(1)) / per if at_least is None else F.greatest(words / per, F.lit(at_least))
+    return {name.lower() + suffix: count_substrings(F.col("_lower"), terms) / units for name, terms in lists.items()}
 
 
 def token_rates(lists: dict[str, list[str]], suffix: str = "_marker_freq") -> Features:

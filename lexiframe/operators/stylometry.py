@@ -37,13 +37,14 @@ MARKS_PER_SENTENCE = {
 
 def with_parts(docs: DataFrame, text: str = "text", paragraph_separator: str = "\n\n") -> DataFrame:
     """Add the parts of the text that the features share, under names with a leading underscore."""
-    t = F.col(text)
-    split = docs.withColumns(
+    t, low = F.col(text), F.col("_lower")
+    listed = sorted({w for words in wl.NARRATIVE_WORDS.values() for w in words} | set(wl.SPEECH_VERBS))
+    split = docs.withColumn("_lower", F.lower(t)).withColumns(
         {
             "_sentences": tk.sentences(t),
-            "_words": tk.words(t),
-            "_letters": tk.letter_tokens(t),
-            "_tokens": tk.all_tokens(F.lower(t)),
+            "_words": tk.words(low),
+            "_letters": tk.letter_tokens(low, lower=False),
+            "_tokens": tk.all_tokens(low),
             "_paragraph_words": F.transform(tk.paragraphs(t, paragraph_separator), tk.n_words),
         }
     )
@@ -51,6 +52,7 @@ def with_parts(docs: DataFrame, text: str = "text", paragraph_separator: str = "
         {
             "_sentence_words": F.transform("_sentences", tk.n_words),
             "_n_tokens": F.size("_tokens"),
+            "_listed": F.filter("_tokens", lambda w: w.isin(listed)),
         }
     )
 
@@ -77,7 +79,7 @@ def median_of(values: Column) -> Column:
         n = F.size(vs)
         return (F.get(vs, F.floor((n - 1) / 2).cast("int")) + F.get(vs, F.floor(n / 2).cast("int"))) / 2.0
 
-    return tk.let(F.array_sort(values), middle)
+    return tk.let(F.sort_array(values), middle)
 
 
 def count_marks(text: Column, marks: list[str]) -> Column:
@@ -103,7 +105,7 @@ def sentence_length_features() -> Features:
 
 def with_syllable_counts(parts: DataFrame, refined: bool = False) -> DataFrame:
     count = syllables_refined if refined else syllables
-    return parts.withColumn("_syllables", F.transform("_words", count))
+    return parts.withColumn("_syllables", F.transform("_words", lambda w: count(w, lowered=True)))
 
 
 def readability_features(refined: bool = False, stop_words: list[str] | None = None) -> Features:
@@ -119,8 +121,8 @@ def readability_features(refined: bool = False, stop_words: list[str] | None = N
     if refined:
         letters = F.aggregate("_words", F.lit(0), lambda acc, w: acc + F.length(w))
         stops = sorted(set(wl.stop_words() if stop_words is None else stop_words))
-        types = F.array_distinct(F.transform("_words", lambda w: F.lower(w)))
-        difficult = F.size(F.filter(types, lambda w: ~w.isin(stops) & (syllables_refined(w) > 2)))
+        types = F.array_distinct("_words")
+        difficult = F.size(F.filter(types, lambda w: ~w.isin(stops) & (syllables_refined(w, lowered=True) > 2)))
         found |= {
             "automated_readability_index": rd.automated_readability(words, sents, letters),
             "coleman_liau_index": rd.coleman_liau(words, sents, letters),
@@ -130,7 +132,7 @@ def readability_features(refined: bool = False, stop_words: list[str] | None = N
 
 
 def syllable_mean_feature() -> Features:
-    return {"avg_syllables_per_word": rd.zero_default(mean_of(F.transform("_letters", syllables)))}
+    return {"avg_syllables_per_word": rd.zero_default(mean_of(F.transform("_letters", lambda w: syllables(w, lowered=True))))}
 
 
 def punctuation_by_length(text: str = "text") -> Features:
@@ -206,8 +208,8 @@ def style_features(text: str = "text") -> Features:
         **lx.dialogue_feature(text),
         **readability_features(),
         **sentence_shape_features(),
-        **lx.substring_rates(text, wl.ERA_MARKERS, "_markers", per=1000.0, at_least=1.0),
-        **lx.substring_rates(text, wl.CATEGORY_WORDS, "_words", per=1000.0),
+        **lx.substring_rates(wl.ERA_MARKERS, "_markers", per=1000.0, at_least=1.0),
+        **lx.substring_rates(wl.CATEGORY_WORDS, "_words", per=1000.0),
         **capitalized_feature(),
         **paragraph_features(),
         **diversity_features(),

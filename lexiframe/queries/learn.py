@@ -12,14 +12,15 @@ from lexiframe.operators import sampling as sm
 from lexiframe.operators import selection as sl
 from lexiframe.queries import register
 from lexiframe.queries.matrix import COLS, SPLIT_SQL, split_table, table, vectors
-from lexiframe.session import materialize
+from lexiframe.session import materialize, packed
 
 # ---- projections -------------------------------------------------------------------------------------------
 
 
 def scaled_features(spark, folder):
     rows = table(spark, folder)
-    return md.assembled(ft.rescale(rows, ft.fit_standard(rows, COLS)), COLS).select("vec_id", "label", "features")
+    scaled = md.assembled(ft.rescale(rows, ft.fit_standard(rows, COLS)), COLS).select("vec_id", "label", "features")
+    return packed(materialize(scaled, "scaled"))
 
 
 @register("k03_principal_components")
@@ -39,7 +40,7 @@ def explained_variance(spark, folder):
 @register("k06_selection_methods")
 def selection_methods(spark, folder):
     """Width of the feature vector after each method."""
-    rows = materialize(scaled_features(spark, folder), "scaled")
+    rows = scaled_features(spark, folder)
     out = None
     for method in ("none", "pca", "selectkbest"):
         stage = sl.selection_stage(method, len(COLS), n_features=50, n_components=30)
@@ -68,7 +69,7 @@ def prepared(spark, folder):
     scaled = ft.clip_columns(ft.rescale(rows, fitted), COLS, 5.0)
     ready = md.assembled(scaled, COLS).select("vec_id", "label", "split", "features")
     weighted = sm.with_class_weights(ready, "label")
-    return materialize(weighted, "prepared")
+    return packed(materialize(weighted, "prepared"))
 
 
 def parts(rows):
@@ -161,7 +162,7 @@ def support_vectors(spark, folder):
 @register("l07_grid_search")
 def grid_search(spark, folder):
     train, _, _ = parts(prepared(spark, folder))
-    folded = materialize(sm.stratified_folds(train, "label", "vec_id", 3), "folded")
+    folded = packed(materialize(sm.stratified_folds(train, "label", "vec_id", 3), "folded"))
     n = folded.count()
     candidates = [({"c": c}, md.logistic(c, n, "weight", max_iter=15)) for c in (0.05, 0.3)]
     _, best, scores = md.grid_search(folded, candidates, "fold", 3)

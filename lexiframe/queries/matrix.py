@@ -10,7 +10,7 @@ from lexiframe.operators import selection as sl
 from lexiframe.operators.ranking import exact_quantiles
 from lexiframe.queries import register
 from lexiframe.queries.inputs import rnd, rounded
-from lexiframe.sources.readers import read_table
+from lexiframe.sources.readers import read_table, spread
 
 DIMS = 64
 COLS = [f"f{i:02d}" for i in range(DIMS)]
@@ -23,7 +23,7 @@ ITEMS = f"""items AS (UNPIVOT (SELECT l_orderkey, l_linenumber, {', '.join(ITEM_
 
 
 def embeddings(spark, folder):
-    return read_table(spark, folder, "embeddings")
+    return spread(read_table(spark, folder, "embeddings"), "vec_id")
 
 
 def table(spark, folder):
@@ -38,7 +38,8 @@ def vectors(spark, folder):
 
 
 def items(spark, folder):
-    return read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *ITEM_COLS)
+    rows = read_table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", *ITEM_COLS)
+    return spread(rows, "l_orderkey")
 
 
 def long_rounded(df, keep, cols):

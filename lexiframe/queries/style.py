@@ -12,7 +12,7 @@ from lexiframe.queries import register, sqltext as st
 from lexiframe.queries.inputs import documents, quoted, rnd, rounded_columns
 
 # Parts of a text in SQL: sentences s, words w, lower-cased letter tokens a, all tokens k, paragraph words p.
-PARTS = rf"""parts AS (SELECT doc_id, text, {st.sentences('text')} AS s, {st.words('text')} AS w,
+PARTS = rf"""parts AS (SELECT doc_id, text, {st.sentences('text')} AS s, {st.words('lower(text)')} AS w,
     {st.letters('lower(text)')} AS a, {st.all_tokens('lower(text)')} AS k,
     list_transform(list_filter(string_split(text, chr(10)), lambda z: regexp_matches(z, '\S')),
                    lambda z: {st.n_words('z')}) AS p FROM documents),

@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
     )
@@ -47,13 +48,27 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def packed(df: DataFrame, rows_per_partition: int = 50_000) -> DataFrame:
+    """Fewer partitions for a table with few rows, as a fit starts a job per step; never fewer than the rows need."""
+    wanted = max(1, -(-df.count() // rows_per_partition))
+    return df.coalesce(wanted) if df.rdd.getNumPartitions() > wanted else df
+
+
 def lookup_join(
-    df: DataFrame, lookup: DataFrame, on: list[str] | str, how: str = "inner", max_rows: int = MAX_LOOKUP_ROWS
+    df: DataFrame,
+    lookup: DataFrame,
+    on: list[str] | str,
+    how: str = "inner",
+    at_most: int | None = None,
+    max_rows: int = MAX_LOOKUP_ROWS,
 ) -> DataFrame:
-    """Join a table with a lookup table, broadcasting the lookup only if it is seen to be small.
+    """Join a table with a lookup table, broadcasting the lookup only if its size is known to be small.
 
-    The row count is checked before the hint is given (the check stops after ``max_rows`` rows). A larger
-    lookup is joined without a hint, so Spark picks a shuffle join and adaptive execution splits hot keys.
+    The lookup is worked out once and written to shared storage, its rows are counted there, and only then is
+    the hint given. A larger lookup is joined without a hint, so Spark picks a shuffle join and adaptive
+    execution splits hot keys. ``at_most`` states a bound that the plan itself guarantees, such as a limit.
     """
-    small = lookup.limit(max_rows + 1).count() <= max_rows
-    return df.join(F.broadcast(lookup) if small else lookup, on, how)
+    if at_most is None:
+        lookup = materialize(lookup, "lookup")
+        at_most = lookup.count()
+    return df.join(F.broadcast(lookup) if at_most <= max_rows else lookup, on, how)
