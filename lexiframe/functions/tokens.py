@@ -121,18 +121,58 @@ def counted(tokens: Column) -> Column:
     return let(F.sort_array(tokens), lambda ts: let(heads_of(ts), lambda heads: runs(ts, heads)))
 
 
-def merged_pairs(tokens: Column, pairs: Column, joiner: str = "_") -> Column:
+def merged_pairs(tokens: Column, pairs: Column, joiner: str = "_", few_pairs: int = 32) -> Column:
     """Join neighbouring tokens whose ``a_b`` form is in ``pairs``: left to right, no token used twice."""
 
     def joined(ts: Column, i: Column) -> Column:
         return F.concat_ws(joiner, F.get(ts, i), F.get(ts, i + 1))
 
-    def flags(ts: Column, ps: Column) -> Column:
-        return F.transform(
-            positions(ts),
-            lambda i: F.when((i < F.size(ts) - 1) & F.array_contains(ps, joined(ts, i)), "1").otherwise("0"),
+    def flags_by_search(ts: Column, ps: Column) -> Column:
+        return F.array_join(
+            F.transform(
+                positions(ts),
+                lambda i: F.when((i < F.size(ts) - 1) & F.array_contains(ps, joined(ts, i)), "1").otherwise("0"),
+            ),
+            "",
         )
 
+    def flags_by_sort(ts: Column, ps: Column) -> Column:
+        """The same for many pairs: pairs and positions sorted together, so no pair list is searched per token."""
+        listed = F.transform(F.array_distinct(ps), lambda p: F.struct(p.alias("pair"), F.lit(-1).alias("at")))
+        at = F.filter(positions(ts), lambda i: i < F.size(ts) - 1)
+        found = F.transform(at, lambda i: F.struct(joined(ts, i).alias("pair"), i.alias("at")))
+
+        def hits(both: Column) -> Column:
+            heads = F.filter(positions(both), lambda i: (i == 0) | (F.get(both, i)["pair"] != F.get(both, i - 1)["pair"]))
+
+            def run(h: Column, following: Column) -> Column:
+                return F.transform(
+                    F.slice(both, h + 2, F.coalesce(following, F.size(both)) - h - 1), lambda e: e["at"]
+                )
+
+            listed_runs = let(
+                heads,
+                lambda hs: F.transform(
+                    hs,
+                    lambda h, j: F.when(F.get(both, h)["at"] == -1, run(h, F.get(hs, j + 1))).otherwise(
+                        F.array().cast("array<int>")
+                    ),
+                ),
+            )
+            return F.sort_array(F.flatten(listed_runs))
+
+        def written(hs: Column) -> Column:
+            ones = F.transform(
+                hs, lambda h, j: F.concat(F.repeat(F.lit("0"), h - F.coalesce(F.get(hs, j - 1), F.lit(-1)) - 1), F.lit("1"))
+            )
+            last = F.coalesce(F.get(hs, F.size(hs) - 1), F.lit(-1))
+            return F.concat(F.array_join(ones, ""), F.repeat(F.lit("0"), F.size(ts) - last - 1))
+
+        return let(let(F.sort_array(F.concat(listed, found)), hits), written)
+
+    def flags(ts: Column, ps: Column) -> Column:
+        return F.when(F.size(ps) <= few_pairs, flags_by_search(ts, ps)).otherwise(flags_by_sort(ts, ps))
+
     def rebuilt(ts: Column, roles: Column) -> Column:
         return F.transform(
             F.filter(positions(ts), lambda i: F.get(roles, i) != "S"),
@@ -141,7 +181,7 @@ def merged_pairs(tokens: Column, pairs: Column, joiner: str = "_") -> Column:
 
     def roles_of(ts: Column, ps: Column) -> Column:
         # One pass of a regular expression over the flags takes pairs greedily and without overlap.
-        return F.split(F.regexp_replace(F.array_join(flags(ts, ps), ""), "1[01]", "MS"), "")
+        return F.split(F.regexp_replace(flags(ts, ps), "1[01]", "MS"), "")
 
     return let(
         tokens, lambda ts: let(pairs, lambda ps: let(roles_of(ts, ps), lambda roles: rebuilt(ts, roles)))

@@ -102,7 +102,7 @@ def test_full_training(spark, method, tmp_path):
         "knn": {"k": [3], "weights": ["distance", "class"], "metric": ["cosine", "manhattan"]},
     }
     run = train_full(rows, cols, "movement", "id", grids, method, n_features=6, n_components=4, k_clusters=3, restarts=2, n_folds=2)
-    assert all(r["accuracy"] > 0.6 for r in run.comparison.collect())
+    assert all(r["accuracy"] > 0.6 for r in run.comparison.filter("model <> 'kmeans'").collect())
     assert run.best != "kmeans" and len(run.columns) == (6 if method == "selectkbest" else 4)
     sinks.save_model(run.models["random_forest"], str(tmp_path / "forest"))
     assert sinks.load_model(str(tmp_path / "forest")).stages[-1].getNumTrees == 10

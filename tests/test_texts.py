@@ -72,9 +72,13 @@ def test_ngrams_counts_and_merging(apply):
     assert apply(lambda t: tk.ngrams_upto(tk.words(t), 2), "a b") == ["a", "b", "a b"]
     assert [tuple(r) for r in apply(lambda t: tk.counted(tk.words(t)), "b a b")] == [("a", 1), ("b", 2)]
     pairs = F.array(F.lit("a_b"), F.lit("b_c"))
-    assert apply(lambda t: tk.merged_pairs(tk.words(t), pairs), "a b c a b") == ["a_b", "c", "a_b"]
     aa = F.array(F.lit("a_a"))
-    assert apply(lambda t: tk.merged_pairs(tk.words(t), aa), "a a a") == ["a_a", "a"]
+    for few in (32, 0):  # both ways to look a pair up
+        assert apply(lambda t: tk.merged_pairs(tk.words(t), pairs, few_pairs=few), "a b c a b") == ["a_b", "c", "a_b"]
+        assert apply(lambda t: tk.merged_pairs(tk.words(t), pairs, few_pairs=few), "b c a b c c") == ["b_c", "a_b", "c", "c"]
+        assert apply(lambda t: tk.merged_pairs(tk.words(t), aa, few_pairs=few), "a a a") == ["a_a", "a"]
+        assert apply(lambda t: tk.merged_pairs(tk.words(t), aa, few_pairs=few), "x") == ["x"]
+        assert apply(lambda t: tk.merged_pairs(tk.words(t), aa, few_pairs=few), "") == []
 
 
 def test_plain_syllables_by_hand(apply):
