@@ -27,18 +27,23 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder in ``spark.checkpoint.dir``.
+_local_roots: dict[str, str] = {}
 
-    Only where that setting is missing (tests, one machine) is a local folder taken.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="lexiframe-")
-        if spark.sparkContext.getCheckpointDir() is None:
-            spark.sparkContext.setCheckpointDir(root)
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/lexiframe/{uuid.uuid4().hex}/{name}"
+
+def _scratch_root(spark: SparkSession) -> str:
+    """The shared folder in ``spark.checkpoint.dir``; only where it is unset (tests, one machine) a local folder."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared.rstrip("/")
+    app = spark.sparkContext.applicationId
+    if app not in _local_roots:
+        _local_roots[app] = tempfile.mkdtemp(prefix="lexiframe-")
+    return _local_roots[app]
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for a table that a job writes and reads back."""
+    return f"{_scratch_root(spark)}/lexiframe/{uuid.uuid4().hex}/{name}"
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
