@@ -46,7 +46,7 @@ def test_numbered_text_files(spark, tmp_path):
 
 def test_catalogue_csv_with_quotes(spark, tmp_path):
     path = tmp_path / "books.csv"
-    path.write_text('Title,Author,Movement,GutenbergID,IsProse\n"Tales, ""odd"" ones",A B,Realism,5,True\n')
+    path.write_text('Title,Author,Movement,DocID,IsProse\n"Tales, ""odd"" ones",A B,Realism,5,True\n')
     row = readers.read_catalogue(spark, str(path)).first()
     assert tuple(row) == ('Tales, "odd" ones', "A B", "Realism", 5, True)
 
