@@ -63,6 +63,10 @@ def slots(tokens: str, at: str, width: int) -> Column:
     )
 
 
+def _numbered(hashes: Column, width: int) -> Column:
+    return F.transform(hashes, lambda h, i: F.struct(F.lit(width).alias("w"), i.alias("at"), h.alias("hash")))
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -105,9 +109,7 @@ def contaminated(
         )
         wanted = part if wanted is None else wanted.unionByName(part)
     wanted = materialize(wanted, "windows")
-    each = F.flatten(F.array(*[
-        F.transform(window_hashes("tokens", w), lambda h, i, w=w: F.struct(F.lit(w).alias("w"), i.alias("at"), h.alias("hash"))) for w in widths
-    ])) if len(widths) > 1 else None
+    each = F.flatten(F.array(*[_numbered(window_hashes("tokens", w), w) for w in widths])) if len(widths) > 1 else None
     if each is None:
         rows = templated.select("_key", F.lit(width).alias("w"), F.posexplode(window_hashes("tokens", width)).alias("at", "hash"))
     else:
@@ -148,5 +150,5 @@ def contaminated(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` that hold no passage of the benchmark, all columns unchanged; rows with a null key stay."""
-    found = materialize(contaminated(docs, benchmark, key, text, **options).select(F.col(key).alias("_found")), "contaminated")
-    return docs.join(found, docs[key] == F.col("_found"), "left_anti")
+    found = materialize(contaminated(docs, benchmark, key, text, **options).select(key), "contaminated")
+    return docs.join(found, key, "left_anti").select(*[f"`{c}`" for c in docs.columns])

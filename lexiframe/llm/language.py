@@ -204,11 +204,13 @@ def _word_scores(token: str) -> tuple[dict[str, int], list[np.ndarray]]:
 
 
 def _judged(docs: DataFrame, model: PieceModel | None, text: str, carry: list[str]) -> DataFrame:
-    """The columns ``carry`` of each row, then ``_pred``, ``_score`` and ``_fit`` of its text."""
+    """The columns ``carry`` of each row, then prediction, score and fit of its text under names of their own."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # as large as the vocabulary, whatever the corpus
     token = uuid.uuid4().hex
-    rows = docs.select(F.col(text).cast("string").alias("_text"), *[F.col(f"`{c}`") for c in carry])
-    schema = T.StructType([*rows.schema.fields[1:]]).add("_pred", "string").add("_score", "double").add("_fit", "double")
+    own = max((c for c in carry), key=len, default="") + "_text"  # longer than any name carried, so it clashes with none
+    rows = docs.select(F.col(text).cast("string").alias(own), *[F.col(f"`{c}`") for c in carry])
+    added = [T.StructField(f"{own}{c}", T.StringType() if c == "pred" else T.DoubleType()) for c in ("pred", "score", "fit")]
+    schema = T.StructType([*rows.schema.fields[1:], *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -227,8 +229,8 @@ def _judged(docs: DataFrame, model: PieceModel | None, text: str, carry: list[st
                     index.update((w, start + k) for k, w in enumerate(new))
                     table[:] = [np.concatenate([*table, model.score_words(new)])]
                 best, score, fit = zip(*[judge(ws, index, table, model) for ws in words], strict=True)
-                added = [pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(fit, pa.float64())]
-                yield pa.RecordBatch.from_arrays(batch.columns[1:] + added, names=schema.names)
+                found = [pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(fit, pa.float64())]
+                yield pa.RecordBatch.from_arrays(batch.columns[1:] + found, names=schema.names)
 
     def judge(words, index, table, model) -> tuple[str, float, float | None]:
         if not words:
@@ -250,7 +252,8 @@ def identify(docs: DataFrame, model: PieceModel | None, key: str = "doc_id", tex
     every text if there is no model gets ``und``, score 0 and a null fit. Whole texts are read, nothing is shuffled.
     """
     judged = _judged(docs, model, text, [key])
-    return judged.select(key, F.col("_pred").alias("lang_pred"), F.col("_score").alias("score"), F.col("_fit").alias("fit"))
+    pred, score, fit = judged.columns[1:]
+    return judged.select(key, F.col(pred).alias("lang_pred"), F.col(score).alias("score"), F.col(fit).alias("fit"))
 
 
 def keep_languages(docs: DataFrame, model: PieceModel | None, text: str = "text", least_fit: float = -9.0) -> DataFrame:
@@ -260,4 +263,5 @@ def keep_languages(docs: DataFrame, model: PieceModel | None, text: str = "text"
     model never saw is under it, any text in its languages far above. Without a model every row is rejected.
     """
     judged = _judged(docs, model, text, docs.columns)
-    return judged.where((F.col("_pred") != UNDETERMINED) & (F.col("_fit") >= least_fit)).select(*[f"`{c}`" for c in docs.columns])
+    pred, _, fit = judged.columns[-3:]
+    return judged.where((F.col(pred) != UNDETERMINED) & (F.col(fit) >= least_fit)).select(*[f"`{c}`" for c in docs.columns])

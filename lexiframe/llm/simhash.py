@@ -137,5 +137,5 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     Repeated rows of one key are kept or dropped together; rows with a null key are kept.
     """
     found = near_duplicates(docs, key, text, **options)
-    gone = found.where(F.col(key) != F.col("component")).select(F.col(key).alias("_gone")).distinct()
-    return docs.join(materialize(gone, "dropped"), docs[key] == F.col("_gone"), "left_anti")
+    gone = found.where(F.col(key) != F.col("component")).select(key).distinct()
+    return docs.join(materialize(gone, "dropped"), key, "left_anti").select(*[f"`{c}`" for c in docs.columns])

@@ -240,8 +240,12 @@ def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: st
     keys and rows are replaced alike. A column ``n_entities`` in ``docs`` is replaced.
     """
     columns = [c for c in docs.columns if c != "n_entities"]
-    found = with_entities(docs.select(*[f"`{c}`" for c in columns]), text)
-    found = found.withColumn("_digest", F.xxhash64(F.col(key).cast("string"), text))
+    rows = docs.select(
+        F.struct(*[f"`{c}`" for c in columns if c != text]).alias("_row"),  # so that no column clashes with those below
+        F.col(text).alias("_text"),
+        F.xxhash64(F.col(key).cast("string"), text).alias("_digest"),
+    )
+    found = with_entities(rows, "_text")
     spread = found.where(F.size("_found") > 0).select("_digest", F.explode("_found").alias("e")).select("_digest", "e.kind", "e.canon")
     spread = materialize(spread.distinct(), "mentions")
     extra = materialize(redraws(spread.select("kind", "canon").distinct(), secret, syllables), "redraws")
@@ -258,7 +262,8 @@ def replace_entities(docs: DataFrame, secret: str, key: str = "doc_id", text: st
         return surrogate(e["raw"], e["kind"], e["canon"], salt, secret, syllables)
 
     found = found.withColumn("_new", F.transform("_found", drawn))
-    gaps = F.split(F.col(text), F.col("_pattern"), -1)
+    gaps = F.split("_text", F.col("_pattern"), -1)
     joined = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get("_new", i), F.lit("")))), "")
-    value = F.when(F.size("_found") > 0, joined).otherwise(F.col(text))
-    return found.select(*[value.alias(c) if c == text else F.col(f"`{c}`") for c in columns], F.size("_found").alias("n_entities"))
+    value = F.when(F.size("_found") > 0, joined).otherwise(F.col("_text"))
+    kept = [value.alias(c) if c == text else F.col("_row").getField(c).alias(c) for c in columns]
+    return found.select(*kept, F.size("_found").alias("n_entities"))
