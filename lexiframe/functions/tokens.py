@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-SENTENCE_END = r"""([.!?]+["')\]]*)\s+"""
+# What Python's ``str.split`` takes for blanks: ASCII ones, separators and all Unicode blanks.
+BLANKS = r"\t-\r\x1c-\x20\x85\p{Z}"
+SENTENCE_END = r"""([.!?]+["')\]]*)[""" + BLANKS + "]+"
 LETTERS = r"\p{L}+"
 WORD_CHARS = r"[\p{L}\p{N}_]{2,}"
 ANY_TOKEN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]"
@@ -32,15 +34,15 @@ def _all(text: Column, pattern: str) -> Column:
 
 def sentences(text: Column) -> Column:
     marked = F.regexp_replace(text, SENTENCE_END, "$1" + _MARK)
-    return F.filter(F.split(marked, _MARK), lambda s: s.rlike(r"\S"))
+    return F.filter(F.split(marked, _MARK), lambda s: s.rlike(f"[^{BLANKS}]"))
 
 
 def words(text: Column) -> Column:
-    return F.filter(F.split(text, r"\s+"), lambda w: w != "")
+    return F.filter(F.split(text, f"[{BLANKS}]+"), lambda w: w != "")
 
 
 def n_words(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(r"\S+"))
+    return F.regexp_count(text, F.lit(f"[^{BLANKS}]+"))
 
 
 def letter_tokens(text: Column, lower: bool = True) -> Column:

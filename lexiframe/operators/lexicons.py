@@ -18,6 +18,7 @@ from lexiframe.session import lookup_join
 
 Features = dict[str, Column]
 MAX_SUBSTRING_TERMS = 50_000
+MAX_LISTED_TERMS = 2_000
 
 
 def token_share(tokens: Column, items: list[str], total: Column) -> Column:
@@ -113,6 +114,19 @@ def term_rows(docs: DataFrame, tokens: Column, key: str = "doc_id") -> DataFrame
     return docs.select(key, F.inline(tk.counted(tokens)))
 
 
+def kept_rows(docs: DataFrame, tokens: Column, vocabulary: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``(key, term, tf)`` of the terms in ``vocabulary`` alone.
+
+    Up to ``MAX_LISTED_TERMS`` terms are a constant that drops the other tokens before they are counted; a larger
+    vocabulary is joined to the counts, with the same rows.
+    """
+    terms = vocabulary.select("term").distinct()
+    listed = [r["term"] for r in terms.limit(MAX_LISTED_TERMS + 1).collect()]
+    if len(listed) > MAX_LISTED_TERMS:
+        return lookup_join(term_rows(docs, tokens, key), terms, "term")
+    return docs.select(key, F.inline(tk.counted(F.filter(tokens, lambda t: t.isin(sorted(listed))))))
+
+
 def vocabulary_counts(terms: DataFrame, vocabulary: DataFrame, key: str = "doc_id") -> DataFrame:
     """Counts of vocabulary terms and their share among the document's vocabulary hits."""
     hits = lookup_join(terms, vocabulary.select("term").distinct(), "term")

@@ -152,8 +152,10 @@ def centroids(df: DataFrame, by: str, vector: str = "vector", max_groups: int =
     return sorted((r[by], list(r["c"])) for r in rows)
 
 
-def nearest_centroid(vector: Column, centres: list[tuple[int, list[float]]], metric: str = "euclidean") -> Column:
-    """Code of the nearest of the given centres; ties to the smaller code."""
+def nearest_centroid(
+    vector: Column, centres: list[tuple[int, list[float]]], metric: str = "euclidean", digits: int | None = None
+) -> Column:
+    """Code of the nearest of the given centres; ties to the smaller code. Distances are rounded only if asked for."""
     listed = F.array(
         *[F.struct(F.lit(code).alias("code"), F.array(*[F.lit(float(v)) for v in c]).alias("c")) for code, c in centres]
     )
@@ -163,7 +165,8 @@ def nearest_centroid(vector: Column, centres: list[tuple[int, list[float]]], met
             vector, centre["c"], lambda a, b: (a - b) * (a - b) if metric == "euclidean" else F.abs(a - b)
         )
         total = F.aggregate(parts, F.lit(0.0), lambda acc, v: acc + v)
-        return F.struct(F.round(F.sqrt(total) if metric == "euclidean" else total, 6).alias("d"), centre["code"].alias("code"))
+        gap = F.sqrt(total) if metric == "euclidean" else total
+        return F.struct((gap if digits is None else F.round(gap, digits)).alias("d"), centre["code"].alias("code"))
 
     return F.array_min(F.transform(listed, gap))["code"]
 

@@ -18,10 +18,11 @@ from pyspark.sql import functions as F
 from lexiframe.session import lookup_join
 
 
-def long_values(df: DataFrame, cols: list[str]) -> DataFrame:
-    """``(i, v)``: column number and value, without null and NaN."""
+def long_values(df: DataFrame, cols: list[str], label: str | None = None) -> DataFrame:
+    """``(i, v)``: column number and value, without null and NaN; with ``label``, that column first as ``_y``."""
     values = F.array(*[F.col(f"`{c}`").cast("double") for c in cols])
-    return df.select(F.posexplode(values).alias("i", "v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
+    kept = [] if label is None else [F.col(label).alias("_y")]
+    return df.select(*kept, F.posexplode(values).alias("i", "v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
 
 
 def exact_quantiles(

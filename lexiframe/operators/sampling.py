@@ -82,6 +82,7 @@ def oversample(
     k: int = 3,
     seed: int = 42,
     block_rows: int = BLOCK_ROWS,
+    digits: int | None = None,
 ) -> DataFrame:
     """Grow every class to the size of the largest by rows between a row and one of its near neighbours.
 
@@ -97,7 +98,7 @@ def oversample(
     plan = need.select(label, "_each").join(cuts.select(label, "cut"), label)
     copies = F.col("_each") + (F.col("_h") <= F.col("cut")).cast("bigint")
     bases = lookup_join(keyed, plan, label).withColumn("_copies", copies).filter(F.col("_copies") > 0)
-    near = nearest(bases, keyed, k, group=label, exclude_self=True, block_rows=block_rows)
+    near = nearest(bases, keyed, k, group=label, exclude_self=True, block_rows=block_rows, digits=digits)
     lists = near.groupBy("id").agg(
         F.transform(F.sort_array(F.collect_list(F.struct("rank", "neighbour"))), lambda s: s["neighbour"]).alias("_near")
     )

@@ -54,7 +54,7 @@ def selection_methods(spark, folder):
 @register("k07_plane_projection")
 def plane_projection(spark, folder):
     rows = scaled_features(spark, folder)
-    clustered = md.kmeans(rows, k=7, restarts=2).transform(rows)
+    clustered = md.kmeans(rows, k=7).transform(rows)
     plane = md.centred_pca(2).fit(rows).transform(clustered).withColumn("xy", vector_to_array("pca"))
     return plane.select("vec_id", "label", "cluster", F.col("xy")[0].alias("x"), F.col("xy")[1].alias("y"))
 
@@ -83,7 +83,7 @@ def predicted(model, rows):
 @register("l01_logistic")
 def logistic(spark, folder):
     train, _, test = parts(prepared(spark, folder))
-    return predicted(md.logistic(0.3, train.count(), "weight", max_iter=50).fit(train), test)
+    return predicted(md.logistic(0.3, train.count(), "weight").fit(train), test)
 
 
 @register("l02_random_forest")
@@ -122,7 +122,7 @@ def knn_vote(spark, folder):
     train, _, test = parts(rows)
     out = None
     for k, metric, weights in ((5, "euclidean", "uniform"), (7, "cosine", "distance"), (9, "manhattan", "distance")):
-        found = nb.knn_classify(train, test, k, metric, weights).select(
+        found = nb.knn_classify(train, test, k, metric, weights, digits=(6, 9)).select(
             F.col("id").alias("vec_id"), F.lit(metric).alias("metric"), "prediction"
         )
         out = found if out is None else out.unionByName(found)
@@ -136,37 +136,40 @@ def knn_rows(spark, folder):
 @register(
     "l04_knn_class_vote",
     f"WITH {KNN_PAIRS}, size AS (SELECT label AS l, count(*) AS n FROM tr GROUP BY label) SELECT * FROM "
-    + knn_sql(5, "euclidean", "pow(1 / (SELECT n FROM size WHERE l = label)::DOUBLE, 2) / (d + 1e-10)"),
+    + knn_sql(5, "euclidean", "pow((SELECT min(n) FROM size) / (SELECT n FROM size WHERE l = label)::DOUBLE, 2) / (d + 1e-10)"),
 )
 def knn_class_vote(spark, folder):
     train, _, test = parts(materialize(knn_rows(spark, folder), "rows"))
-    found = nb.knn_classify(train, test, 5, "euclidean", "class")
+    found = nb.knn_classify(train, test, 5, "euclidean", "class", digits=(6, 9))
     return found.select(F.col("id").alias("vec_id"), F.lit("euclidean").alias("metric"), "prediction")
 
 
 @register("l05_gradient_boosting")
 def gradient_boosting(spark, folder):
     train, _, test = parts(prepared(spark, folder))
-    return predicted(md.boosting(5, 2, 0.03, 0.8).fit(train), test)
+    return predicted(md.boosting(50, 2, 0.03, 0.8).fit(train), test)
 
 
 @register("l06_support_vectors")
 def support_vectors(spark, folder):
     train, _, test = parts(prepared(spark, folder))
     n, gamma = train.count(), md.scale_gamma(train, len(COLS))
-    linear = predicted(md.linear_svm(0.5, n, "weight", max_iter=5).fit(train), test).withColumn("kernel", F.lit("linear"))
-    rbf = predicted(md.rbf_svm(0.5, gamma, n, 100, "weight", max_iter=5).fit(train), test)
+    linear = predicted(md.linear_svm(0.5, n, "weight").fit(train), test).withColumn("kernel", F.lit("linear"))
+    rbf = predicted(md.rbf_svm(0.5, gamma, n, weight="weight").fit(train), test)
     return linear.unionByName(rbf.withColumn("kernel", F.lit("rbf")))
 
 
 @register("l07_grid_search")
 def grid_search(spark, folder):
     train, _, _ = parts(prepared(spark, folder))
-    folded = packed(materialize(sm.stratified_folds(train, "label", "vec_id", 3), "folded"))
+    folded = packed(materialize(sm.stratified_folds(train, "label", "vec_id", 5), "folded"))
     n = folded.count()
-    candidates = [({"c": c}, md.logistic(c, n, "weight", max_iter=15)) for c in (0.05, 0.3)]
-    _, best, scores = md.grid_search(folded, candidates, "fold", 3)
-    rows = [(str(about["c"]), score, about == best) for about, score in scores]
+    gamma = md.scale_gamma(folded, len(COLS))
+    candidates = [({"family": "logistic", "c": c}, md.logistic(c, n, "weight")) for c in (0.05, 0.3)]
+    candidates += [({"family": "random_forest", "trees": 50, "depth": d}, md.random_forest(50, d, 2, "weight")) for d in (5, 7)]
+    candidates.append(({"family": "svm", "c": 0.5}, md.rbf_svm(0.5, gamma, n, weight="weight")))
+    _, best, scores = md.grid_search(folded, candidates, "fold", 5)
+    rows = [(str(about), score, about == best) for about, score in scores]
     return spark.createDataFrame(rows, "setting string, accuracy double, best boolean")
 
 
@@ -175,16 +178,25 @@ def validation_scores(spark, folder):
     from lexiframe.operators import evaluate as ev
 
     train, val, _ = parts(prepared(spark, folder))
-    forest = md.random_forest(20, 5, 2, "weight").fit(train)
-    plain = md.logistic(0.3, train.count(), "weight", max_iter=15).fit(train)
-    return ev.compare_models({"random_forest": predicted(forest, val), "logistic": predicted(plain, val)})
+    n, gamma = train.count(), md.scale_gamma(train, len(COLS))
+    families = {
+        "logistic": md.logistic(0.3, n, "weight"),
+        "random_forest": md.random_forest(50, 7, 2, "weight"),
+        "gradient_boosting": md.boosting(50, 2, 0.03, 0.8),
+        "svm": md.rbf_svm(0.5, gamma, n, weight="weight"),
+    }
+    scored = {name: predicted(model.fit(train), val) for name, model in families.items()}
+    near = [part.select(F.col("vec_id").alias("id"), "label", vector_to_array("features").alias("vector")) for part in (train, val)]
+    found = nb.knn_classify(*near, 5).join(near[1].select("id", "label"), "id")
+    scored["knn"] = found.select(F.col("id").alias("vec_id"), "label", "prediction")
+    return ev.compare_models(scored)
 
 
 @register("l09_kmeans")
 def kmeans(spark, folder):
     rows = prepared(spark, folder)
     train, _, _ = parts(rows)
-    return md.kmeans(train, k=7, restarts=3).transform(rows).select("vec_id", "split", "cluster")
+    return md.kmeans(train, k=7).transform(rows).select("vec_id", "split", "cluster")
 
 
 CENTRES_SQL = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
@@ -198,7 +210,7 @@ def clustered(spark, folder):
     """All rows assigned to the means of the first seven classes."""
     rows = vectors(spark, folder)
     centres = [c for c in md.centroids(rows, "label") if c[0] < 7]
-    return rows.withColumn("cluster", md.nearest_centroid(F.col("vector"), centres))
+    return rows.withColumn("cluster", md.nearest_centroid(F.col("vector"), centres, digits=6))
 
 
 @register("l10_cluster_assignment", f"WITH {CENTRES_SQL} SELECT vec_id, cluster FROM assigned")

@@ -218,7 +218,7 @@ SMOTE_TEXT = "'42:' || b.vec_id || ':' || b.copy"
 )
 def oversample(spark, folder):
     rows = vectors(spark, folder)
-    new = sm.oversample(rows).withColumn("kind", F.lit("synthetic"))
+    new = sm.oversample(rows, digits=6).withColumn("kind", F.lit("synthetic"))
     old = rows.select(
         F.col("id").alias("source"), F.lit(0).cast("bigint").alias("copy"), "label", F.col("id").alias("neighbour"), "vector",
         F.lit("original").alias("kind"),

@@ -12,17 +12,17 @@ STOPS_SQL = quoted(STOPS)
 
 def sentences(text: str) -> str:
     return (
-        "list_filter(string_split(regexp_replace(" + text + r""", '([.!?]+["'')\]]*)\s+', '\1' || chr(1), 'g'), chr(1)), """
-        r"lambda z: regexp_matches(z, '\S'))"
+        "list_filter(string_split(regexp_replace(" + text + r""", '([.!?]+["'')\]]*)[\t-\r\x1c-\x20\x85\p{Z}]+', '\1' || chr(1), 'g'), chr(1)), """
+        r"lambda z: regexp_matches(z, '[^\t-\r\x1c-\x20\x85\p{Z}]'))"
     )
 
 
 def words(text: str) -> str:
-    return rf"list_filter(string_split_regex({text}, '\s+'), lambda z: z <> '')"
+    return rf"list_filter(string_split_regex({text}, '[\t-\r\x1c-\x20\x85\p{{Z}}]+'), lambda z: z <> '')"
 
 
 def n_words(text: str) -> str:
-    return rf"len(regexp_extract_all({text}, '\S+'))"
+    return rf"len(regexp_extract_all({text}, '[^\t-\r\x1c-\x20\x85\p{{Z}}]+'))"
 
 
 def letters(text: str) -> str:
@@ -38,7 +38,7 @@ def all_tokens(text: str) -> str:
 
 
 def trimmed(text: str) -> str:
-    return rf"regexp_replace({text}, '^\s+|\s+$', '', 'g')"
+    return rf"regexp_replace({text}, '^[\t-\r\x1c-\x20\x85\p{{Z}}]+|[\t-\r\x1c-\x20\x85\p{{Z}}]+$', '', 'g')"
 
 
 def syllables(word: str) -> str:

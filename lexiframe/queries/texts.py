@@ -143,7 +143,7 @@ def prefix(spark, folder):
     )
 
 
-PUNCT_SQL = st.trimmed(r"regexp_replace(regexp_replace(text, '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g')")
+PUNCT_SQL = st.trimmed(r"regexp_replace(regexp_replace(text, '[^\p{L}\p{N}_\t-\r\x1c-\x20\x85\p{Z}]', ' ', 'g'), '[\t-\r\x1c-\x20\x85\p{Z}]+', ' ', 'g')")
 
 
 @register(

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_LOOKUP_ROWS = 200_000
+MAX_LOOKUP_BYTES = 16_000_000  # of the written table, which is packed; a broadcast holds a few times that
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -31,10 +34,13 @@ _local_roots: dict[str, str] = {}
 
 
 def _scratch_root(spark: SparkSession) -> str:
-    """The shared folder in ``spark.checkpoint.dir``; only where it is unset (tests, one machine) a local folder."""
+    """The shared folder in ``spark.checkpoint.dir``; a local folder only where it is unset and the master is local."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all machines of {master} share")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
         _local_roots[app] = tempfile.mkdtemp(prefix="lexiframe-")
@@ -43,7 +49,37 @@ def _scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a table that a job writes and reads back."""
-    return f"{_scratch_root(spark)}/lexiframe/{uuid.uuid4().hex}/{name}"
+    path = f"{_scratch_root(spark)}/lexiframe/{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return f"{path}/{name}"
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, all scratch tables made inside: for a job that writes its result before it ends.
+
+    DataFrames that read those tables cannot be used afterwards.
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def written_bytes(table: DataFrame) -> int:
+    """Size of the files a table is read from."""
+    spark, total = table.sparkSession, 0
+    for file in table.inputFiles():
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        total += path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).getLen()
+    return total
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
@@ -69,11 +105,14 @@ def lookup_join(
 ) -> DataFrame:
     """Join a table with a lookup table, broadcasting the lookup only if its size is known to be small.
 
-    The lookup is worked out once and written to shared storage, its rows are counted there, and only then is
-    the hint given. A larger lookup is joined without a hint, so Spark picks a shuffle join and adaptive
-    execution splits hot keys. ``at_most`` states a bound that the plan itself guarantees, such as a limit.
+    The lookup is worked out once and written to shared storage, its rows are counted and its files measured there,
+    and only then is the hint given. A larger lookup is joined without a hint, so Spark picks a shuffle join and
+    adaptive execution splits hot keys. ``at_most`` states a bound on the rows that the plan itself guarantees, such as
+    a limit; it is for rows of a few short columns.
     """
     if at_most is None:
         lookup = materialize(lookup, "lookup")
         at_most = lookup.count()
+        if at_most <= max_rows and written_bytes(lookup) > MAX_LOOKUP_BYTES:
+            at_most = max_rows + 1
     return df.join(F.broadcast(lookup) if at_most <= max_rows else lookup, on, how)

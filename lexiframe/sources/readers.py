@@ -30,7 +30,10 @@ def read_feature_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_texts(spark: SparkSession, path: str, id_pattern: str = r"(\d+)\.txt$") -> DataFrame:
-    """One document per file; the id comes from the file path. Undecodable bytes become U+FFFD."""
+    """One document per file; the id comes from the file path. Undecodable bytes become U+FFFD.
+
+    Files whose path has no id that fits a long are left out; ``stray_files`` lists them.
+    """
     # List folders in a few tasks per core; the default is one task per folder.
     setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     before = spark.conf.get(setting)
@@ -39,10 +42,19 @@ def read_texts(spark: SparkSession, path: str, id_pattern: str = r"(\d+)\.txt$")
         files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
     finally:
         spark.conf.set(setting, before)
-    return files.select(
-        F.regexp_extract(F.input_file_name(), id_pattern, 1).cast("bigint").alias("doc_id"),
-        F.col("value").alias("text"),
-    )
+    return with_ids(files, id_pattern)
+
+
+def with_ids(files: DataFrame, id_pattern: str) -> DataFrame:
+    """``(doc_id, text)`` of the files whose path gives an id."""
+    found = files.select(F.regexp_extract(F.input_file_name(), id_pattern, 1).alias("_id"), F.col("value").alias("text"))
+    return found.select(F.expr("try_cast(_id AS bigint)").alias("doc_id"), "text").where("doc_id IS NOT NULL")
+
+
+def stray_files(spark: SparkSession, path: str, id_pattern: str = r"(\d+)\.txt$") -> DataFrame:
+    """``(file)``: the files below ``path`` that ``read_texts`` leaves out. Only names are read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select(F.col("path").alias("file"))
+    return files.where(F.try_to_number(F.regexp_extract("file", id_pattern, 1), F.lit("9" * 19)).isNull())
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

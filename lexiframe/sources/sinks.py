@@ -53,20 +53,33 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def rewrite_in_place(df: DataFrame, path: str) -> None:
     """Replace the parquet table at ``path`` by ``df``, which may itself read from ``path``.
 
-    The new table is written next to the old one and swapped in by rename, so a failed job leaves the old one.
+    The new table is written next to the old one and swapped in by two renames. A job that fails leaves the old table;
+    if the second rename fails, the old table is put back. A table set aside by a run that was killed between the
+    renames is put back first, and a left-over copy beside a whole table is deleted.
     """
     spark = df.sparkSession
     fs, path_of = _filesystem(spark, path)
     fresh, old = path + "__new", path + "__old"
+    if fs.exists(path_of(old)):
+        if fs.exists(path_of(path)):
+            fs.delete(path_of(old), True)
+        elif not fs.rename(path_of(old), path_of(path)):
+            raise OSError(f"cannot put {old} back")
     df.write.mode("overwrite").parquet(fresh)
     if not fs.rename(path_of(path), path_of(old)):
         raise OSError(f"cannot set aside {path}")
-    if not fs.rename(path_of(fresh), path_of(path)):
+    if not _moved(fs, path_of(fresh), path_of(path)):
+        fs.rename(path_of(old), path_of(path))
+        spark.catalog.refreshByPath(path)
         raise OSError(f"cannot move {fresh} into place")
     fs.delete(path_of(old), True)
     spark.catalog.refreshByPath(path)
 
 
+def _moved(fs, source, target) -> bool:
+    return fs.rename(source, target)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 
@@ -77,8 +90,8 @@ def load_model(path: str) -> PipelineModel:
 
 def write_names(df: DataFrame, path: str) -> None:
     """Small ordered list or mapping, such as feature names, class names or cluster labels."""
-    df.coalesce(1).write.mode("overwrite").parquet(path)
+    df.repartition(1).write.mode("overwrite").parquet(path)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    summary.coalesce(1).write.mode("overwrite").json(path)
+    summary.repartition(1).write.mode("overwrite").json(path)

@@ -8,14 +8,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiframe.functions.cleaning import clean_strict
+from lexiframe.sources.readers import with_ids
 
 
 def text_stream(spark: SparkSession, folder: str, id_pattern: str = r"(\d+)\.txt$") -> DataFrame:
-    """Stream of ``(doc_id, text)``, one row per file."""
+    """Stream of ``(doc_id, text)``, one row per file whose path has an id."""
     files = spark.readStream.option("recursiveFileLookup", "true").option("wholetext", "true").text(folder)
-    return files.select(
-        F.regexp_extract(F.input_file_name(), id_pattern, 1).cast("bigint").alias("doc_id"), F.col("value").alias("text")
-    )
+    return with_ids(files, id_pattern)
 
 
 def take_in(
