@@ -37,7 +37,7 @@ def test_filters_keep_and_drop(spark, tables):
     judged = language.identify(first, queries.language_model(spark, first))
     assert set(rows(spoken)) == {r["doc_id"] for r in judged.collect() if r["lang_pred"] != "und" and r["fit"] >= -9}
     assert len(rows(spoken)) >= 0.99 * len(rows(first))
-    groups = near_duplicates(spoken, width=5).collect()
+    groups = near_duplicates(spoken).collect()
     assert set(rows(single)) == {r["doc_id"] for r in groups if r["doc_id"] == r["component"]}
     assert len({r["text"] for r in single.collect()}) == single.count()
     leaks = decontaminate.contaminated(single, spark.read.parquet(f"{MEDIUM}/benchmark.parquet"))
