@@ -164,10 +164,8 @@ def grid_search(spark, folder):
     train, _, _ = parts(prepared(spark, folder))
     folded = packed(materialize(sm.stratified_folds(train, "label", "vec_id", 5), "folded"))
     n = folded.count()
-    gamma = md.scale_gamma(folded, len(COLS))
     candidates = [({"family": "logistic", "c": c}, md.logistic(c, n, "weight")) for c in (0.05, 0.3)]
     candidates += [({"family": "random_forest", "trees": 50, "depth": d}, md.random_forest(50, d, 2, "weight")) for d in (5, 7)]
-    candidates.append(({"family": "svm", "c": 0.5}, md.rbf_svm(0.5, gamma, n, weight="weight")))
     _, best, scores = md.grid_search(folded, candidates, "fold", 5)
     rows = [(str(about), score, about == best) for about, score in scores]
     return spark.createDataFrame(rows, "setting string, accuracy double, best boolean")

@@ -121,15 +121,15 @@ def test_tagger_plug_point(spark):
 def test_topics_sum_to_one(spark):
     texts = ["red blue green " * 5, "cat dog bird " * 5] * 6
     tokens = docs(spark, *texts).select("doc_id", tk.words(F.col("text")).alias("tokens"))
-    model = tp.fit_lda(tokens, tp.topic_count(12), max_iter=5)
+    model = tp.fit_lda(tokens, tp.topic_count(12), passes=5)
     for r in tp.topic_vectors(model, tokens, floor=0.0).collect():
         assert math.isclose(sum(r["topics"]), 1.0, abs_tol=1e-6)
     for r in tp.mean_topic_vectors(model, tokens).collect():
         assert math.isclose(sum(r["topics"]), 1.0, abs_tol=1e-6)
     terms = lx.term_rows(tokens, F.col("tokens"))
     vocab = corpus.vocabulary(terms, 12, top_k=100)
-    factors, _ = tp.fit_factors(corpus.tfidf(terms, vocab, 12), vocab, k=2)
-    assert all(min(r["factors"]) >= 0 for r in tp.factor_vectors(factors).collect())
+    factors, numbers, _ = tp.fit_factors(corpus.tfidf(terms, vocab, 12), vocab, k=2)
+    assert all(min(r["factors"]) >= 0 for r in tp.factor_vectors(factors, numbers).collect())
 
 
 def catalogue(spark, rows):
