@@ -117,7 +117,7 @@ def grid_search(train: DataFrame, candidates: list[tuple[dict, object]], fold: s
     """
     if len(candidates) == 1:
         about, estimator = candidates[0]
-        return estimator.fit(train), about, [(about, None)]
+        return Pipeline(stages=[estimator]).fit(train), about, [(about, None)]
     # The stages of the pipeline are the searched parameter, so one validator tries any kinds of estimators
     # side by side and reads each fold once.
     pipeline = Pipeline(stages=[])
