@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lexiframe.session import materialize
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
+INVERSE = np.uint64(pow(int(FACTOR), -1, 1 << 64))
 CACHED_WORDS = 400_000
 WHOLE = -1
 
@@ -38,13 +39,25 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def prefix_sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the words' numbers times falling powers, and the powers: two subtractions then hash any run of words."""
+    up = np.full(len(hashes) + 1, FACTOR)
+    down = np.full(len(hashes) + 1, INVERSE)
+    up[0] = down[0] = 1
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * np.cumprod(down)[:-1], out=sums[1:])
+    return sums, np.cumprod(up)
+
+
+def span_hashes(sums: np.ndarray, powers: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A 64-bit number for each run of the words from ``first`` up to ``last``, the same wherever the run stands."""
+    return mixed((sums[last] - sums[first]) * powers[first] + (last - first).astype(np.uint64))
+
+
 def run_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """A 64-bit number for each run of ``k`` words."""
-    n = len(hashes) - k + 1
-    total = np.zeros(max(0, n), np.uint64)
-    for j in range(k if n > 0 else 0):
-        total = total * FACTOR + hashes[j : j + n]
-    return mixed(total)
+    first = np.arange(max(0, len(hashes) - k + 1))
+    return span_hashes(*prefix_sums(hashes), first, first + k)
 
 
 def anchors(hashes: np.ndarray, window: int, k: int) -> np.ndarray:
@@ -187,27 +200,42 @@ def repeated_windows(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held, n_held = [], 0
             for doc, raw, marks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                marks = marks.as_py()
-                values = np.array([m["hash"] for m in marks], np.int64).view(np.uint64)
-                hot = values[[m["hot"] for m in marks]] if marks else values
-                hashes = word_hashes(raw.as_py().split())
-                own = anchors(hashes, window, k)
-                starts = np.flatnonzero(np.isin(own, values))
-                if not len(starts):
-                    continue
-                single = np.isin(own[starts], hot)
-                new = np.ones(len(starts), bool)
-                new[1:] = (np.diff(starts) > 1) | (own[starts][1:] != own[starts][:-1]) | single[1:]
-                begin = np.flatnonzero(new)
-                ends = np.append(begin[1:], len(starts)) - 1
-                first, last = starts[begin], starts[ends] + window
-                keys = np.where(single[begin], run_hashes(hashes, window)[first], own[first]).view(np.int64)
-                symbols = hashes.view(np.int64)
-                passages = [symbols[i:j] for i, j in zip(first, last, strict=True)]
-                digests = np.array([xxhash.xxh64_intdigest(p.tobytes()) for p in passages], np.uint64).view(np.int64)
-                columns = [pa.array(np.full(len(first), doc)), pa.array(first.astype(np.int64)), pa.array(keys), pa.array(digests)]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(passages, pa.list_(pa.int64()))], names=["doc", "start", "key", "digest", "passage"])
+                values = marks.values.field("hash").to_numpy().view(np.uint64)
+                hot = values[marks.values.field("hot").to_numpy(zero_copy_only=False)]
+                found = passages_of(doc, word_hashes(raw.as_py().split()), values, hot)
+                if found:
+                    held.append(found)
+                    n_held += len(found[0])
+                if n_held > 20_000:
+                    yield as_batch(held)
+                    held, n_held = [], 0
+            if held:
+                yield as_batch(held)
+
+    def passages_of(doc: int, hashes: np.ndarray, values: np.ndarray, hot: np.ndarray):
+        own = anchors(hashes, window, k)
+        starts = np.flatnonzero(np.isin(own, values))
+        if not len(starts):
+            return None
+        single = np.isin(own[starts], hot)
+        new = np.ones(len(starts), bool)
+        new[1:] = (np.diff(starts) > 1) | (own[starts][1:] != own[starts][:-1]) | single[1:]
+        begin = np.flatnonzero(new)
+        first, last = starts[begin], starts[np.append(begin[1:], len(starts)) - 1] + window
+        sums, powers = prefix_sums(hashes)
+        keys = np.where(single[begin], span_hashes(sums, powers, first, first + window), own[first])
+        sizes = last - first
+        at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        return np.full(len(first), doc), first, keys, span_hashes(sums, powers, first, last), sizes, hashes[at]
+
+    def as_batch(held: list[tuple]) -> pa.RecordBatch:
+        doc, first, keys, digests, sizes, words = (np.concatenate(c) for c in zip(*held, strict=True))
+        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        columns = [pa.array(c.view(np.int64)) for c in (doc, first.astype(np.int64), keys, digests)]
+        passages = pa.ListArray.from_arrays(offsets, pa.array(words.view(np.int64)))
+        return pa.RecordBatch.from_arrays([*columns, passages], names=["doc", "start", "key", "digest", "passage"])
 
     apart = per_doc.where("NOT copy AND size(marks) > 0").select("doc", "marks")
     texts = rows.join(apart, "doc")
