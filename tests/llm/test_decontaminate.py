@@ -32,7 +32,7 @@ def test_reparameterised_questions(spark):
         (0, prose(1, 50) + " a train runs 120 km in 9 hours while another train runs 120 km in 7 hours; which one is faster and why " + prose(2, 9)),
         (1, "a train runs 120 km in 9 hours while another train runs 130 km in 7 hours; which one is faster and why"),  # one slot, two values
         (2, "a train runs 9 miles in 9 hours while another train runs 9 miles in 7 hours; which one is faster and why"),  # two slots, one value
-        (3, "A bus goes 300 km in 4 hours and another bus goes 300 km in 6 hours; which one is slower and where"),
+        (3, "A bus goes 300 km in 4 hours and another bus goes 310 km in 7 hours; which one is slower and where"),
         (4, "say it: short item here"),
         (5, "1 2 3 4 5 6 7 8 9"),  # no words: slots must be equal
         (6, "now 7 8 9 10 11 12 13 14 15 it is"),
