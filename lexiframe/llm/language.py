@@ -9,11 +9,11 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiframe.session import lookup_join
+from lexiframe.session import lookup_join, materialize
 
 UNDETERMINED = "und"
 START = "▁"
@@ -173,21 +173,24 @@ def fit_language_model(
     lang: str = "lang",
     key: str = "doc_id",
     max_docs: int = 3_000,
-    max_words: int = 200_000,
+    max_words: int = 50_000,
     rounds: int = 4,
 ) -> PieceModel | None:
     """A model from rows that have a text and a language; None where there are none.
 
-    A language with more than ``max_docs`` rows is fitted on about that many, chosen by a hash of the key, and the
-    ``max_words`` most frequent pairs of language and word are used: both bound what the driver holds.
+    A language with more than ``max_docs`` rows is fitted on about that many, chosen by a hash of the key, and with more
+    than ``max_words`` different words on the most frequent ones, of equals those of the smallest hash: both bound what
+    the driver holds, and neither depends on the other languages. Runs of ``SHORT`` letters or more count as shorter runs.
     """
     rows = labelled.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang")).dropna(subset=["_text", "_lang"])
     sizes = rows.groupBy("_lang").agg(F.count("*").alias("_n"))
     share = F.pmod(F.xxhash64(F.col("_key").cast("string")), F.lit(1_000_000)) < F.lit(1_000_000.0 * max_docs) / F.col("_n")
-    words = lookup_join(rows, sizes, "_lang").where(share).select(
-        "_lang", F.explode(F.regexp_extract_all(F.lower("_text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word")
-    )
-    top = words.groupBy("_lang", "word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "_lang", "word").limit(max_words)
+    # a run is cut where the next SHORT - 1 letters would be full, so scripts without blanks are learned too
+    runs = F.regexp_extract_all(F.lower("_text"), F.lit(rf"\p{{L}}{{1,{SHORT - 1}}}"), F.lit(0))
+    words = lookup_join(rows, sizes, "_lang").where(share).select("_lang", F.explode(runs).alias("word"))
+    counted = materialize(words.groupBy("_lang", "word").agg(F.count("*").alias("n")), "words")
+    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.desc("n"), F.xxhash64("word"), "word"))
+    top = counted.withColumn("rank", rank).where(F.col("rank") <= max_words).drop("rank")
     counts = {(r["_lang"], r["word"]): r["n"] for r in top.collect()}
     return fit_pieces(counts, vocabulary, rounds) if counts else None
 

@@ -1,5 +1,6 @@
 import itertools
 import math
+import random
 
 import numpy as np
 import pytest
@@ -96,6 +97,22 @@ def test_nothing_to_learn_from(spark):
     assert language.fit_language_model(docs, tiny().vocabulary) is None
 
 
+def test_small_and_unsegmented_languages_are_learned(spark):
+    rng = random.Random(4)
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(rng.randint(2, 8)))
+    rows = [("big", " ".join(word("abcdefghij") for _ in range(1000))) for _ in range(220)]
+    rows += [("tiny", " ".join(word("qrstuvw") for _ in range(30))) for _ in range(5)]
+    rows += [("zz", "".join(rng.choice("一二三人大小天") for _ in range(150))) for _ in range(5)]
+    docs = spark.createDataFrame([(i, t, k) for i, (k, t) in enumerate(rows)], "doc_id long, text string, lang string")
+    vocabulary = Vocabulary({p: i for i, p in enumerate(["▁", *"abcdefghijqrstuvw", *"一二三人大小天"])})
+    model = language.fit_language_model(docs, vocabulary)
+    assert model.languages == ["big", "tiny", "zz"]
+    new = spark.createDataFrame([(1, "qrs tuv wrs"), (2, "大小天" * 30), (3, "abc hij")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in identify(new, model).collect()} == {1: "tiny", 2: "zz", 3: "big"}
+    few = language.fit_language_model(docs, vocabulary, max_words=20)
+    assert few.languages == ["big", "tiny", "zz"]
+
+
 def test_vocabulary_covers_letters_only():
     vocabulary = Vocabulary.from_file(path("piece_bpe_32k.model"))
     assert len(vocabulary.pieces) > 15_000 and "▁the" in vocabulary.pieces
