@@ -84,7 +84,8 @@ def contaminated(
     Windows of fewer than ``least_words`` words, placeholders not counted, are not distinctive: they
     match only where the slots hold the same values too. Then slots are checked: over all windows of a row and an
     item at the same distance, one value of the item must always stand for one value of the row and the other way
-    round; windows of an alignment that breaks this do not count. ``items`` are the ids found, sorted.
+    round; of an alignment that breaks this only windows whose slots hold the item's own values count. ``items`` are
+    the ids found, sorted.
 
     Null and empty texts match nothing. Rows of one key count together. Texts are read once for their hashes, which is
     all that the join sees; only rows that match windows with slots are read again. The benchmark's windows
@@ -137,9 +138,10 @@ def contaminated(
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("all"),
     )
     one = lambda side: F.size(F.expr(f"array_distinct(transform(all, p -> struct(p.kind AS kind, p.{side} AS v)))"))
-    lined = lined.where((one("mine") == F.size("all")) & (one("theirs") == F.size("all")))
-    kept = lined.select("_key", "item", F.explode("windows").alias("x"))
-    kept = kept.where((F.col("x.words") >= least_words) | F.forall("x.pairs", lambda p: p["mine"] == p["theirs"]))
+    agree = (one("mine") == F.size("all")) & (one("theirs") == F.size("all"))
+    kept = lined.select("_key", "item", agree.alias("agree"), F.explode("windows").alias("x"))
+    literal = F.forall("x.pairs", lambda p: p["mine"] == p["theirs"])
+    kept = kept.where(literal | (F.col("agree") & (F.col("x.words") >= least_words)))
     every = plain.unionByName(kept.select("_key", "item", "x.w", "x.at"))
     return every.groupBy(F.col("_key").alias(key)).agg(
         F.array_sort(F.collect_set("item")).alias("items"),

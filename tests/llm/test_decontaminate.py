@@ -48,6 +48,16 @@ def test_reparameterised_questions(spark):
     assert set(whole) == {0}
 
 
+def test_copies_with_one_changed_value(spark):
+    docs = [
+        (0, ITEMS[1][1].replace("300 km in 6", "310 km in 6")),  # 300 stands for 300 and for 310
+        (1, ITEMS[1][1].replace("in 6 hours", "in 4 hours")),  # 4 and 6 both stand for 4
+        (2, "a train runs 120 km in 9 hours while another train runs 130 km in 7 hours; which one is faster and why"),
+    ]
+    got = ids(contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(ITEMS[1:2], ITEM_TYPE)))
+    assert got == {0: [2], 1: [2]}
+
+
 def brute(rows, items, width=8):
     import re
 
