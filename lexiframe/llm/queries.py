@@ -8,7 +8,22 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiframe.llm import decontaminate, language, packing, repeats, secret_scan, shards, simhash, surrogates, url_rules, vector_dups
+from lexiframe.functions.tokens import let
+from lexiframe.llm import (
+    decontaminate,
+    language,
+    packing,
+    periodic_runs,
+    ptolemaic,
+    repeats,
+    secret_scan,
+    shards,
+    simhash,
+    surrogates,
+    token_files,
+    url_rules,
+    vector_dups,
+)
 from lexiframe.sources.readers import read_table
 
 N_SHARDS = 24
@@ -123,3 +138,91 @@ def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
 @register("op10_repeats")
 def op10_repeats(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(read_table(spark, folder, "documents"))
+
+
+def with_planted_runs(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``(key, text)`` with a run from some word on in a tenth of the texts: with h the CRC-32 of the key's digits and g the
+    tenth of it, where h ends in 0 word i becomes word a + (i - a) % p, for a = g % n and p = 1 + (n - a) div (3 + g % 8)."""
+    h = F.crc32(F.col(key).cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def planted(words):
+        a = (g % F.size(words)).cast("int")
+        period = (1 + F.floor((F.size(words) - a) / (3 + g % 8))).cast("int")
+        return let(
+            F.struct(a.alias("a"), period.alias("p")),
+            lambda c: F.transform(words, lambda w, i: F.when(i < c["a"], w).otherwise(F.get(words, c["a"] + F.pmod(i - c["a"], c["p"])))),
+        )
+
+    split = F.filter(F.split(F.col(text), r"[\x20\t-\r]+"), lambda w: w != "")
+    changed = let(split, lambda words: F.when(F.size(words) > 0, F.array_join(planted(words), " ")).otherwise(""))
+    return docs.select(key, F.when(h % 10 == 0, changed).otherwise(F.col(text)).alias(text))
+
+
+@register("op11_periodic_runs")
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(with_planted_runs(read_table(spark, folder, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("1000 * best.length DIV -best.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+@register("op12_token_files")
+def op12_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.token_table(read_table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+def clusters_sql(k: int = 8, rounds: int = 10, dims: int = 64) -> str:
+    """Rounds of exact assignment and floored means, one after another, every distance computed."""
+    steps = [
+        f"""kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), cells AS MATERIALIZED (SELECT vec_id, unnest(range({dims})) AS d, unnest(v) AS x FROM kept),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM (SELECT sha256('3:' || vec_id) AS h, v FROM kept ORDER BY h LIMIT {k})
+)"""
+    ]
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, min({k} * CAST(list_sum(list_transform(list_zip(kept.v, c{r}.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) + c) AS m
+  FROM kept, c{r} GROUP BY vec_id
+)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS MATERIALIZED (
+  SELECT m % {k} AS c, d, sum(x) AS s, count(*) AS n FROM a{r} JOIN cells USING (vec_id) GROUP BY ALL
+), c{r + 1} AS MATERIALIZED (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY d) AS v FROM s{r} GROUP BY c
+  UNION ALL SELECT c, v FROM c{r} WHERE c NOT IN (SELECT c FROM s{r})
+)""")
+    last = ", ".join([*steps, f"found AS (SELECT vec_id, m % {k} AS c, m // {k} AS distance FROM a{rounds})"])
+    return f"""
+WITH {last}
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, distance,
+  CAST(sum(distance) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(v, ',')) AS centroid_sha256
+FROM found JOIN c{rounds} USING (c)
+"""
+
+
+@register("op13_centroid_clusters", clusters_sql())
+def op13_centroid_clusters(spark: SparkSession, folder: str) -> DataFrame:
+    rows, centroids = ptolemaic.ptolemaic_clusters(read_table(spark, folder, "embeddings"))
+    per_cluster = rows.groupBy("cluster").agg(F.sum("distance").alias("cluster_inertia"))
+    total = rows.agg(F.sum("distance")).first()[0]
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ",").cast("binary"), 256)
+    facts = centroids.join(F.broadcast(per_cluster), "cluster").select(  # one row per cluster
+        "cluster", "cluster_inertia", F.lit(total).cast("long").alias("inertia"), digest.alias("centroid_sha256")
+    )
+    return rows.join(F.broadcast(facts), "cluster").select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
