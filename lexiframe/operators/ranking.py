@@ -3,6 +3,9 @@
 ``exact_quantiles`` brackets every wanted rank with an approximate pass and then counts: all values outside the
 brackets collapse to a few counters, and only the values inside, a tiny share of the rows, are kept with theirs.
 
+``prefix_sums`` adds up in a global order: rows are dealt into ranges of it, every range is totalled, and a running sum
+within the range adds the rest, so no task sees more than a range, whatever a group holds.
+
 ``hash_cuts`` finds, per class, the hash value below which exactly the wanted number of rows lie. It counts
 hash prefixes and sorts only the rows of the one prefix that holds the cut, so a class that holds most of the
 rows is no bottleneck; applying the cuts afterwards is a comparison per row.
@@ -15,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiframe.session import lookup_join
+from lexiframe.session import lookup_join, materialize
 
 
 def long_values(df: DataFrame, cols: list[str], label: str | None = None) -> DataFrame:
@@ -88,6 +91,25 @@ def _values_at(spark, long: DataFrame, brackets: dict, wanted: dict) -> dict:
     return {(r["i"], r["j"], r["p"]): r["v"] for r in hit.select("i", "j", "p", "v").collect()}
 
 
+def prefix_sums(df: DataFrame, group: list[str], order: list[str], value: Column, name: str = "upto") -> DataFrame:
+    """Add the sum of ``value`` (a whole number, not null) over the rows of the group up to this one in ascending ``order``.
+
+    Rows that agree in group and order are told apart by their position, so each has a sum of its own; where only the sum
+    before or after all of them is wanted, the order must be unique. The result is stored, so it may be read again.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = df.withColumn("_value", value.cast("bigint")).withColumn("_row", F.monotonically_increasing_id())
+    by = [*group, *order, "_row"]
+    dealt = materialize(keyed.repartitionByRange(n, *by).withColumn("_range", F.spark_partition_id()), "ranges")
+    totals = dealt.groupBy(*group, "_range").agg(F.sum("_value").alias("_total"))  # a row per group and range it lies in
+    earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*group, "_range", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_range", *group).orderBy(*order, "_row").rowsBetween(Window.unboundedPreceding, 0)
+    summed = dealt.withColumn("_inside", F.sum("_value").over(inside))
+    joined = lookup_join(summed, before, ["_range", *group])
+    return materialize(joined.select(*df.columns, (F.col("_before") + F.col("_inside")).alias(name)), "prefix")
+
+
 def hash_key(row_id: str | Column, seed: int | str = 42) -> Column:
     """Pseudo-random but repeatable order key; equal in every run and on every executor."""
     col = F.col(row_id) if isinstance(row_id, str) else row_id

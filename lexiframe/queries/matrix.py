@@ -294,6 +294,37 @@ def mutual_information_top(spark, folder):
     return sl.top_features(scores, 20).withColumn("score", rounded(F.col("score")))
 
 
+#: the 64 columns, one with many equal values and a constant one
+TIED = """tied AS (SELECT label, feature, value FROM flat UNION ALL SELECT label, 'same', 2.5::DOUBLE FROM embeddings
+    UNION ALL SELECT label, 'ties', floor(value * 4) / 4::DOUBLE FROM flat WHERE feature = 'f00')"""
+STEPS = " ".join(f"""{f}(q, {j}) OVER w AS {f}{j},""" for f in ("lag", "lead") for j in (1, 2, 3))
+GAPS = ", ".join(f"abs(q - {f}{j})" for f in ("lag", "lead") for j in (1, 2, 3))
+
+
+@register(
+    "k02_neighbour_information",
+    f"""WITH {FLAT}, {TIED},
+        ends AS (SELECT feature, min(value) AS lo, max(value) AS hi FROM tied WHERE label IS NOT NULL GROUP BY feature),
+        grid AS (SELECT feature, label, CAST(floor(CASE WHEN hi > lo THEN (value - lo) / (hi - lo) ELSE 0 END * 4503599627370496::DOUBLE) AS BIGINT) AS q
+                 FROM tied JOIN ends USING (feature) WHERE label IS NOT NULL),
+        kept AS (SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY feature, label) AS nc FROM grid) WHERE nc > 1),
+        stepped AS (SELECT feature, label, q, nc, {STEPS} least(3, nc - 1) AS k FROM kept WINDOW w AS (PARTITION BY feature, label ORDER BY q)),
+        reach AS (SELECT feature, label, q, nc, k, list_sort(list_filter([{GAPS}], lambda x: x IS NOT NULL))[k] AS gap, greatest(1, gap) - 1 AS r FROM stepped),
+        near AS (SELECT feature, nc, CASE WHEN gap = 0 THEN count(*) OVER (PARTITION BY feature, label, q) - 1 ELSE k END AS k,
+                        count(*) OVER (PARTITION BY feature ORDER BY q RANGE BETWEEN r PRECEDING AND r FOLLOWING) - CASE WHEN gap = 0 THEN 1 ELSE 0 END AS m,
+                        count(*) OVER (PARTITION BY feature) AS n FROM reach),
+        psi AS (SELECT i AS x, sum(CASE WHEN i > 1 THEN 1 / (i - 1)::DOUBLE ELSE 0 END) OVER (ORDER BY i) - 0.5772156649015329::DOUBLE AS y
+                FROM range(1, (SELECT max(n) + 1 FROM near)) AS t(i)),
+        scores AS (SELECT feature, greatest(0, any_value(pn.y) + avg(pk.y - pc.y - pm.y)) AS score
+                   FROM near JOIN psi pn ON pn.x = n JOIN psi pk ON pk.x = k JOIN psi pc ON pc.x = nc JOIN psi pm ON pm.x = m GROUP BY feature)
+        SELECT feature, {rnd('score')} AS score FROM scores""",
+)
+def neighbour_information(spark, folder):
+    rows = table(spark, folder).withColumns({"same": F.lit(2.5), "ties": F.floor(F.col("f00") * 4) / 4.0})
+    scores = sl.neighbour_information(rows, [*COLS, "ties", "same"], "label")
+    return scores.select("feature", rounded(F.col("score")).alias("score"))
+
+
 @register("k05_selected_names", f"{ANOVA} SELECT feature, rank <= 20 AS selected FROM ranked")
 def selected_names(spark, folder):
     chosen = sl.selected_names(anova(spark, folder), 20, COLS)
