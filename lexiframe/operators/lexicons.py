@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from lexiframe.functions import readability as rd
 from lexiframe.functions import tokens as tk
 from lexiframe.functions import wordlists as wl
+from lexiframe.operators.automaton import category_hits
 from lexiframe.session import lookup_join
 
 Features = dict[str, Column]
-MAX_SUBSTRING_TERMS = 50_000
 MAX_LISTED_TERMS = 2_000
 
 
@@ -40,34 +40,18 @@ def dialogue_feature(text: str = "text") -> Features:
     return {"dialogue_markers": rd.zero_default(rd.ratio(marks + verbs, F.col("_n_tokens")) * 100.0)}
 
 
-def count_substrings(text: Column, terms: list[str]) -> Column:
-    """Sum over the terms of their occurrences anywhere in the text; a term listed twice counts twice."""
-    if not terms:
-        return F.lit(0).cast("bigint")
-    listed = F.array(*[F.lit(t) for t in terms])
-
-    def count(t: Column) -> Column:
-        def times(term: Column) -> Column:
-            saved = F.octet_length(t) - F.octet_length(F.replace(t, term, F.lit("")))
-            return (saved / F.octet_length(term)).cast("bigint")
-
-        # Most terms are absent from most texts, and a plain search is far cheaper than a replacement.
-        found = F.filter(listed, lambda term: F.contains(t, term))
-        return F.aggregate(found, F.lit(0).cast("bigint"), lambda acc, term: acc + times(term))
-
-    return tk.let(text, count)
-
-
 def substring_rates(
-    lists: dict[str, list[str]], suffix: str, per: float = 1000.0, at_least: float | None = None
+    lists: dict[str, list[str]], suffix: str, per: float = 1000.0, at_least: float | None = None, hits: Column | None = None
 ) -> Features:
-    """Substring counts per ``per`` words. ``at_least`` bounds the number of units from below.
+    """Occurrences of each list's terms anywhere in the text, per ``per`` words. ``at_least`` bounds the number of units
+    from below; ``hits`` are the counts where they are known already.
 
-    Needs ``_lower`` and ``_words``, as made by ``with_parts``.
+    Needs ``_lower`` and ``_words``, as made by ``with_parts``. All terms are found in one pass over the text.
     """
     words = F.size("_words")
     units = F.greatest(words, F.lit(1)) / per if at_least is None else F.greatest(words / per, F.lit(at_least))
-    return {name.lower() + suffix: count_substrings(F.col("_lower"), terms) / units for name, terms in lists.items()}
+    hits = category_hits(F.col("_lower"), lists) if hits is None else hits
+    return {name.lower() + suffix: hits[i] / units for i, name in enumerate(lists)}
 
 
 def token_rates(lists: dict[str, list[str]], suffix: str = "_marker_freq") -> Features:
@@ -97,14 +81,9 @@ def expand_terms(
 
 
 def lexicon_lists(lexicon: DataFrame) -> dict[str, list[str]]:
-    """Term lists by category for substring counting, which must try every term on every text."""
-    rows = lexicon.select("category", "term").limit(MAX_SUBSTRING_TERMS + 1).collect()
-    if len(rows) > MAX_SUBSTRING_TERMS:
-        raise ValueError(
-            f"substring counting takes at most {MAX_SUBSTRING_TERMS} terms; use vocabulary_counts for larger lists"
-        )
+    """Term lists by category, for jobs that make a column of every term; ``automaton.with_lexicon_hits`` takes tables."""
     lists: dict[str, list[str]] = {}
-    for row in sorted(rows):
+    for row in sorted(lexicon.select("category", "term").collect()):
         lists.setdefault(row["category"], []).append(row["term"])
     return lists
 
