@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # What Python's ``str.split`` takes for blanks: ASCII ones, separators and all Unicode blanks.
 BLANKS = r"\t-\r\x1c-\x20\x85\p{Z}"
-SENTENCE_END = r"""([.!?]+["')\]]*)[""" + BLANKS + "]+"
+# Tried at the first mark of a run alone and possessive, so a long run of marks is read once.
+SENTENCE_END = r"""((?<![.!?])[.!?]++["')\]]*+)[""" + BLANKS + "]++"
 LETTERS = r"\p{L}+"
 WORD_CHARS = r"[\p{L}\p{N}_]{2,}"
 ANY_TOKEN = r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]"

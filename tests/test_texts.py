@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,3 +105,28 @@ def test_readability_defaults_to_zero(spark):
         rd.automated_readability(zero, zero, zero), rd.coleman_liau(zero, zero, zero), rd.dale_chall(zero, zero, zero),
     ).first()
     assert list(row) == [0.0] * 6
+
+
+def test_long_runs_of_one_kind_take_linear_time(spark):
+    """Texts of a million characters that a backtracking or restarting expression would not get through."""
+    n = 1_000_000
+    texts = ["a" + " " * n + "b", " " * n, "[" * n, "[x " * (n // 3) + "]", "\n" * n, "_" * n, "." * n, "a. " * (n // 3), "\r\n" * (n // 2)]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").repartition(len(texts))
+    t = F.col("t")
+    cleaned = {
+        "stripped": cl.strip_ws(t), "notes": cl.drop_emphasis_and_notes(t), "plain": cl.punctuation_to_space(t),
+        "strict": cl.clean_strict(t), "wide": cl.clean_wide(t), "sentences": F.size(tk.sentences(t)), "words": tk.n_words(t),
+    }
+    begun = time.perf_counter()
+    got = {r["i"]: r for r in rows.select("i", *[c.alias(k) for k, c in cleaned.items()]).collect()}
+    assert time.perf_counter() - begun < 60
+    assert got[0]["stripped"] == texts[0] and got[1]["stripped"] == "" and got[0]["plain"] == "a b"
+    assert got[2]["notes"] == texts[2] and got[3]["notes"] == "" and got[5]["notes"] == ""
+    assert got[7]["words"] == n // 3
+
+
+def test_brackets_and_blanks_as_before(apply):
+    for text, want in [("a [b] c", "a  c"), ("[a [b] c]", " c]"), ("[a\n] b", "[a\n] b"), ("[[x]", ""), ("]a[", "]a["), ("[a [b\n[c]", "[a [b\n")]:
+        assert apply(cl.drop_emphasis_and_notes, text) == want
+    for text in ["", "  ", " a ", "\ta\u00a0", "a  b  ", "\u2003\n x y \u2003"]:
+        assert apply(cl.strip_ws, text) == text.strip()
