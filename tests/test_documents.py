@@ -129,8 +129,8 @@ def test_topics_sum_to_one(spark):
         assert math.isclose(sum(r["topics"]), 1.0, abs_tol=1e-6)
     terms = lx.term_rows(tokens, F.col("tokens"))
     vocab = corpus.vocabulary(terms, 12, top_k=100)
-    factors, numbers, _ = tp.fit_factors(corpus.tfidf(terms, vocab, 12), vocab, k=2)
-    assert all(min(r["factors"]) >= 0 for r in tp.factor_vectors(factors, numbers).collect())
+    factors = tp.fit_factors(corpus.tfidf(terms, vocab, 12), k=2)
+    assert all(min(r["factors"]) >= 0 for r in tp.factor_vectors(factors).collect())
 
 
 def catalogue(spark, rows):
