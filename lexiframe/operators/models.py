@@ -112,12 +112,8 @@ def grid_search(train: DataFrame, candidates: list[tuple[dict, object]], fold: s
     """Fit every candidate on all folds but one, score it on that one, and refit the best on all rows.
 
     ``candidates`` pairs a description with an estimator. Returns the fitted best model, its description and a
-    list of ``(description, mean accuracy)``. Ties go to the earlier candidate. A single candidate leaves nothing to
-    choose: it is fitted on all rows, without folds and score.
+    list of ``(description, mean accuracy)``. Ties go to the earlier candidate; a single one is scored by folds like any.
     """
-    if len(candidates) == 1:
-        about, estimator = candidates[0]
-        return Pipeline(stages=[estimator]).fit(train), about, [(about, None)]
     # The stages of the pipeline are the searched parameter, so one validator tries any kinds of estimators
     # side by side and reads each fold once.
     pipeline = Pipeline(stages=[])

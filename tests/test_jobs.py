@@ -121,7 +121,7 @@ def test_studies(spark):
 
     rows, cols = features(spark)
     rows = sm.stratified_split(rows.withColumn("label", (F.col("id") % 3).cast("int")), "label", "id", 0.3)
-    recipe = {"n_features": 5, "gamma": 0.2, "c": 1.0, "components": 60, "max_iter": 8}
+    recipe = {"n_features": 5, "gammas": (0.2,), "cs": (0.3, 1.0), "components": 60, "max_iter": 8, "n_folds": 3}
     same = studies.ablation(rows, cols, ["absent"], "id", 1, **recipe).collect()
     assert same[0]["accuracy"] == same[1]["accuracy"] > 0.9 and same[0]["class_f1"] == same[1]["class_f1"]
     less = {r["setting"]: r["accuracy"] for r in studies.ablation(rows, cols, ["x0", "x1"], "id", 1, **recipe).collect()}
