@@ -2,23 +2,22 @@
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lexiframe.llm.periodic_runs import text_slices
+from lexiframe.llm.token_ids import text_encoder
 from lexiframe.session import materialize
 
 END_ID = 2
-CACHED_WORDS = 800_000
+SLICE_BYTES = 2_000_000  # of text whose pieces are made at a time; a longer text is one alone
 
 
 def binary_lengths(n: int, longest: int) -> list[int]:
@@ -27,74 +26,6 @@ def binary_lengths(n: int, longest: int) -> list[int]:
     return [longest] * (n // longest) + [1 << k for k in reversed(range(rest.bit_length())) if rest >> k & 1]
 
 
-class WordEncoder:
-    """Ids of a text as little-endian 32-bit numbers, through bounded caches of words.
-
-    Holds for tokenizers like ``word_bpe_49k``: blanks are dropped and never joined over, capitals do not count, runs of
-    letters are kept apart from punctuation, and the last id of every run ends with the mark of a word's end. Then the
-    ids of a text are those of its blank-separated words one after another, and those of ``Word.`` are those of ``word``
-    and ``.``. Only ASCII blanks separate here; other blanks stay in their word and are the tokenizer's.
-    """
-
-    def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        vocabulary = self.model.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-
-    def __call__(self, texts: list[bytes]) -> list[bytes]:
-        rows = [t.split() for t in texts]
-        new = set().union(*rows).difference(self.known)
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known.clear()
-            new = set().union(*rows)
-        if new:
-            plain = {w for w in new if w.isalpha() and w.islower()}
-            split = {w: self._parts(w) for w in new.difference(plain)}
-            self._learn(plain.union(*split.values()).difference(self.known))
-            for w, parts in split.items():
-                self.known[w] = b"".join([self.known[p] for p in parts])
-        return [b"".join(map(self.known.__getitem__, words)) for words in rows]
-
-    @staticmethod
-    def _parts(word: bytes) -> tuple[bytes, ...]:
-        if b"<|" in word:  # special tokens are told from other words by their case
-            return (word,)
-        small = word.lower()
-        return (small[:-1], small[-1:]) if small[-1:] in b".," and small[:-1].isalpha() else (small,)
-
-    def _learn(self, words: set[bytes]) -> None:
-        """Encodes words many at a time: runs of letters as one text, cut where an id ends a word."""
-        letters, others = [], []
-        for w in words:
-            (letters if (text := w.decode()).isalpha() else others).append((w, text))
-        chunks = [letters[at : at + 1000] for at in range(0, len(letters), 1000)]
-        for part, found in zip(chunks, self._ids([" ".join(t for _, t in part) for part in chunks]), strict=True):
-            stops = np.flatnonzero(self.ends[found]) + 1
-            if len(stops) != len(part):  # some word has marks among its letters when normalised
-                others += part
-                continue
-            raw, last = found.tobytes(), 0
-            for (w, _), stop in zip(part, (4 * stops).tolist(), strict=True):
-                self.known[w] = raw[last:stop]
-                last = stop
-        for (w, _), found in zip(others, self._ids([t for _, t in others]), strict=True):
-            self.known[w] = found.tobytes()
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    """One encoder for each tokenizer file while a Python worker lives."""
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks run side by side already
-    return WordEncoder(path)
-
-
 def pieces(
     docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", longest: int = 4096, ids: bool = False
 ) -> DataFrame:
@@ -116,15 +47,16 @@ def pieces(
     end = END_ID.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, seen, part = encoder(tokenizer), Counter(), TaskContext.get().partitionId()
+        encode, seen, part = text_encoder(tokenizer), Counter(), TaskContext.get().partitionId()
         for whole in batches:
-            for at in range(0, whole.num_rows, 300):
-                batch = whole.slice(at, 300)
-                keys, rows, raw = [], [], []
-                coded = encode([t or b"" for t in batch.column(1).to_pylist()])
-                for k, doc in zip(batch.column(0).to_pylist(), coded, strict=True):
-                    doc, start = doc + end, 0
-                    total = len(doc) // 4
+            for at, to in text_slices(whole.column(1), SLICE_BYTES):
+                batch = whole.slice(at, to - at)
+                keys, rows, raw, last = [], [], [], 0
+                coded, sizes = encode(batch.column(1))
+                for k, n_ids in zip(batch.column(0).to_pylist(), sizes.tolist(), strict=True):
+                    doc, start = coded[last : last + 4 * n_ids] + end, 0
+                    last += 4 * n_ids
+                    total = n_ids + 1
                     for n in binary_lengths(total, longest):
                         piece = doc[4 * start : 4 * (start + n)]
                         keys.append(k)
@@ -141,7 +73,7 @@ def pieces(
         columns += [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
         return pa.RecordBatch.from_arrays(columns + [pa.array(raw, pa.binary())] * ids, names=names)
 
-    source = docs.select(key, F.col(text).cast("string").cast("binary").alias("_text"))
+    source = docs.select(key, F.col(text).cast("string").alias("_text"))
     cut = materialize(source.mapInArrow(run, schema + ", ids binary" * ids), "pieces")
     # one row per task and length: tasks times thirteen at most, summed before they meet
     counts = cut.groupBy("length", "part").agg((F.max("nth") + 1).alias("n"))

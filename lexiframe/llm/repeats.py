@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiframe.llm.worker_cache import only_cache
 from lexiframe.session import materialize
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
@@ -19,12 +20,10 @@ INVERSE = np.uint64(pow(int(FACTOR), -1, 1 << 64))
 CACHED_WORDS = 400_000
 WHOLE = -1
 
-_word_hashes: dict[bytes, int] = {}
-
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """A 64-bit number per word, kept in a bounded cache while a Python worker lives."""
-    known = _word_hashes
+    known = only_cache("word hashes", dict)
     if len(known) > CACHED_WORDS:
         known.clear()
     for w in set(words).difference(known):
