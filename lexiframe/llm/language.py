@@ -5,21 +5,24 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexiframe.llm.worker_cache import only_cache
 from lexiframe.session import lookup_join, materialize
 
 UNDETERMINED = "und"
 START = "▁"
 LETTERS = regex.compile(r"\p{L}+")
 SHORT = 40
-CACHED_WORDS = 400_000
+CACHED_BYTES = 64_000_000
+WORD_BYTES = 200  # what a word takes in the cache besides its letters and scores
 
 
 @dataclass
@@ -27,11 +30,11 @@ class Vocabulary:
     """Pieces and their numbers; one more number stands for any single character that no piece covers."""
 
     pieces: dict[str, int]
-    prefixes: set[str] = field(default_factory=set)
+    known: dict[str, int] = field(default_factory=dict)  # every beginning of a piece: its number, or -1 if it is none itself
     longest: int = 0
 
     def __post_init__(self):
-        self.prefixes = {p[:k] for p in self.pieces for k in range(1, len(p) + 1)}
+        self.known = dict.fromkeys((p[:k] for p in self.pieces for k in range(1, len(p))), -1) | self.pieces
         self.longest = max(map(len, self.pieces), default=1)
 
     @classmethod
@@ -50,12 +53,12 @@ class Vocabulary:
 
     def arcs(self, word: str) -> list[tuple[int, int, int]]:
         """``(start, end, piece)`` of every piece in the marked word; characters without any get the unknown piece."""
-        out, n, pieces, prefixes = [], len(word), self.pieces, self.prefixes
+        out, n, pieces, known = [], len(word), self.pieces, self.known
         for i in range(n):
             found = False
             for j in range(i + 1, min(n, i + self.longest) + 1):
                 part = word[i:j]
-                if part not in prefixes:
+                if part not in known:
                     break
                 if part in pieces:
                     out.append((i, j, pieces[part]))
@@ -101,15 +104,29 @@ class PieceModel:
 
 
 def _lattice(vocabulary: Vocabulary, words: list[str], size: int) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For words of one length: by start and end, the rows that have a piece there and the piece."""
-    cells: dict[tuple[int, int], tuple[list[int], list[int]]] = {}
-    for row, word in enumerate(words):
-        for i, j, p in vocabulary.arcs(word):
-            rows, found = cells.setdefault((i, j), ([], []))
-            rows.append(row)
-            found.append(p)
-    order = sorted(cells, key=lambda c: (c[1], c[0]))
-    return [(i, j, np.array(cells[i, j][0]), np.array(cells[i, j][1])) for i, j in order] + [(size, size, np.array([], int), np.arange(len(words)))]
+    """For words of one length: by start and end, the rows that have a piece there and the piece.
+
+    All words advance together, those that no longer begin a piece falling out.
+    """
+    known, every, out = vocabulary.known, np.arange(len(words)), []
+    for i in range(size):
+        rows, alive, alone = every, words, np.ones(len(words), bool)
+        for j in range(i + 1, min(size, i + vocabulary.longest) + 1):
+            found = np.array([known.get(w[i:j], -2) for w in alive], np.int64)
+            going = found > -2
+            if not going.all():
+                rows, found, alive = rows[going], found[going], list(compress(alive, going.tolist()))
+            if not len(rows):
+                break
+            pieces = found >= 0
+            if pieces.any():
+                out.append((i, j, rows[pieces], found[pieces]))
+                if j == i + 1:
+                    alone[rows[pieces]] = False
+        if alone.any():
+            out.append((i, i + 1, every[alone], np.full(int(alone.sum()), vocabulary.unknown)))
+    out.sort(key=lambda c: (c[1], c[0]))
+    return [*out, (size, size, np.array([], int), every)]
 
 
 def _forward(lattice, chances: np.ndarray, size: int) -> np.ndarray:
@@ -135,34 +152,63 @@ def _expected(lattice, chances: np.ndarray, size: int, weights: np.ndarray) -> n
     return out
 
 
+def _uses(words: list[str], weights: np.ndarray, vocabulary: Vocabulary, chances: np.ndarray) -> np.ndarray:
+    """Expected uses of each piece, by language, in words counted ``weights[word, language]`` times."""
+    by_size: dict[int, list[int]] = {}
+    for k, w in enumerate(words):
+        by_size.setdefault(len(w) + 1, []).append(k)
+    out = np.zeros_like(chances)
+    for size, rows in by_size.items():
+        lattice = _lattice(vocabulary, [START + words[k] for k in rows], size)
+        out += _expected(lattice, chances, size, weights[rows])
+    return out
+
+
+def _maximised(used: np.ndarray, prior: float) -> np.ndarray:
+    """Piece probabilities from expected uses."""
+    used = used.copy()
+    used[-1] = 0  # what the vocabulary lacks says nothing about a language
+    pooled = used.sum(1, keepdims=True) + 0.01
+    mixed = used + prior * pooled / pooled.sum()
+    return mixed / mixed.sum(0)
+
+
 def fit_pieces(
-    counts: dict[tuple[str, str], int], vocabulary: Vocabulary, rounds: int = 4, prior: float = 200.0
+    counted: DataFrame, languages: list[str], vocabulary: Vocabulary, rounds: int = 4, prior: float = 200.0
 ) -> PieceModel:
-    """Piece probabilities per language from ``{(language, word): count}`` by expectation-maximisation.
+    """Piece probabilities per language from ``(word, weights)``, its counts in the languages, by expectation-maximisation.
 
-    Every language is smoothed by ``prior`` uses spread like the pooled counts of all languages, and those by a
-    small even share, so no piece has probability 0.
+    Every language is smoothed by ``prior`` uses spread like the pooled counts of all languages, and those by a small even
+    share, so no piece has probability 0. In each round tasks sum expected uses over their words and Spark adds them up by
+    piece; the driver holds a number per piece and language.
     """
-    languages = sorted({lang for lang, _ in counts})
-    words = sorted({w for _, w in counts if len(w) < SHORT})
-    at = {w: k for k, w in enumerate(words)}
-    column = {lang: k for k, lang in enumerate(languages)}
-    weights = np.zeros((len(words), len(languages)))
-    for (lang, w), n in counts.items():
-        if w in at:
-            weights[at[w], column[lang]] += n
-    by_size: dict[int, list[int]] = {}
-    for w, k in at.items():
-        by_size.setdefault(len(w) + 1, []).append(k)
-    lattices = [(s, rows, _lattice(vocabulary, [START + words[k] for k in rows], s)) for s, rows in by_size.items()]
     n = vocabulary.unknown + 1
     chances = np.full((n, len(languages)), 1.0 / n)
+
+    def used(chances: np.ndarray) -> np.ndarray:
+        shared = counted.sparkSession.sparkContext.broadcast((vocabulary, chances))  # as large as the vocabulary
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            vocabulary, chances = shared.value
+            total = np.zeros_like(chances)
+            for whole in batches:
+                for at in range(0, whole.num_rows, 20_000):
+                    part = whole.slice(at, 20_000)
+                    weights = part.column(1).flatten().to_numpy(zero_copy_only=False).reshape(-1, chances.shape[1])
+                    total += _uses(part.column(0).to_pylist(), weights, vocabulary, chances)
+            rows = np.flatnonzero(total.any(axis=1))
+            columns = [pa.array(rows.astype(np.int32)), pa.array(list(total[rows]), pa.list_(pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["piece", "uses"])
+
+        sums = [F.sum(F.col("uses")[j]).alias(f"u{j}") for j in range(len(languages))]
+        out = np.zeros_like(chances)
+        for r in counted.mapInArrow(run, "piece int, uses array<double>").groupBy("piece").agg(*sums).collect():
+            out[r["piece"]] = r[1:]
+        shared.unpersist()
+        return out
+
     for _ in range(rounds):
-        used = sum((_expected(lat, chances, s, weights[rows]) for s, rows, lat in lattices), np.zeros_like(chances))
-        used[-1] = 0  # what the vocabulary lacks says nothing about a language
-        pooled = used.sum(1, keepdims=True) + 0.01
-        mixed = used + prior * pooled / pooled.sum()
-        chances = mixed / mixed.sum(0)
+        chances = _maximised(used(chances), prior)
     return PieceModel(vocabulary, languages, chances)
 
 
@@ -173,14 +219,12 @@ def fit_language_model(
     lang: str = "lang",
     key: str = "doc_id",
     max_docs: int = 3_000,
-    max_words: int = 50_000,
     rounds: int = 4,
 ) -> PieceModel | None:
     """A model from rows that have a text and a language; None where there are none.
 
-    A language with more than ``max_docs`` rows is fitted on about that many, chosen by a hash of the key, and with more
-    than ``max_words`` different words on the most frequent ones, of equals those of the smallest hash: both bound what
-    the driver holds, and neither depends on the other languages. Runs of ``SHORT`` letters or more count as shorter runs.
+    A language with more than ``max_docs`` rows is fitted on about that many, chosen by a hash of the key, whatever the
+    other languages hold. All words of those rows count; runs of ``SHORT`` letters or more count as shorter runs.
     """
     rows = labelled.select(F.col(key).alias("_key"), F.col(text).alias("_text"), F.col(lang).alias("_lang")).dropna(subset=["_text", "_lang"])
     sizes = rows.groupBy("_lang").agg(F.count("*").alias("_n"))
@@ -188,22 +232,42 @@ def fit_language_model(
     # a run is cut where the next SHORT - 1 letters would be full, so scripts without blanks are learned too
     runs = F.regexp_extract_all(F.lower("_text"), F.lit(rf"\p{{L}}{{1,{SHORT - 1}}}"), F.lit(0))
     words = lookup_join(rows, sizes, "_lang").where(share).select("_lang", F.explode(runs).alias("word"))
-    counted = materialize(words.groupBy("_lang", "word").agg(F.count("*").alias("n")), "words")
-    rank = F.row_number().over(Window.partitionBy("_lang").orderBy(F.desc("n"), F.xxhash64("word"), "word"))
-    top = counted.withColumn("rank", rank).where(F.col("rank") <= max_words).drop("rank")
-    counts = {(r["_lang"], r["word"]): r["n"] for r in top.collect()}
-    return fit_pieces(counts, vocabulary, rounds) if counts else None
-
-
-_known: dict[str, tuple[dict[str, int], list[np.ndarray]]] = {}
-
-
-def _word_scores(token: str) -> tuple[dict[str, int], list[np.ndarray]]:
-    """Words scored so far by the model of that name, kept while a Python worker lives."""
-    if token not in _known:
-        _known.clear()
-        _known[token] = ({}, [])
-    return _known[token]
+    counted = materialize(words.groupBy("word", "_lang").agg(F.count("*").cast("double").alias("n")), "words")
+    languages = sorted(r["_lang"] for r in counted.select("_lang").distinct().collect())  # a row per language
+    if not languages:
+        return None
+    weights = F.array(*[F.sum(F.when(F.col("_lang") == lang, F.col("n")).otherwise(0.0)) for lang in languages])
+    return fit_pieces(materialize(counted.groupBy("word").agg(weights.alias("weights")), "weights"), languages, vocabulary, rounds)
+
+
+class WordScores:
+    """Words scored so far by a model, in bounded space: a full table is emptied."""
+
+    def __init__(self, model: PieceModel):
+        self.model = model
+        self.row_bytes = WORD_BYTES + 8 * len(model.languages)
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.table = np.zeros((1 << 12, len(self.model.languages)))
+        self.letters = 0
+
+    def learn(self, words: set[str]) -> None:
+        """Scores those of the words that are new."""
+        if self.letters + self.row_bytes * len(self.index) > CACHED_BYTES:
+            self.forget()
+        new = [w for w in words if w not in self.index]
+        if not new:
+            return
+        start, end = len(self.index), len(self.index) + len(new)
+        if end > len(self.table):
+            grown = np.zeros((max(2 * len(self.table), end), self.table.shape[1]))
+            grown[:start] = self.table[:start]
+            self.table = grown
+        self.table[start:end] = self.model.score_words(new)
+        self.index.update(zip(new, range(start, end), strict=True))
+        self.letters += sum(map(len, new))
 
 
 def _judged(docs: DataFrame, model: PieceModel | None, text: str, carry: list[str]) -> DataFrame:
@@ -217,31 +281,24 @@ def _judged(docs: DataFrame, model: PieceModel | None, text: str, carry: list[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        index, table = _word_scores(token)
+        scores = only_cache(("language", token), lambda: WordScores(model)) if model else None
         for whole in batches:
             for at in range(0, whole.num_rows, 400):
                 batch = whole.slice(at, 400)
                 words = [LETTERS.findall((t or "").lower()) if model else [] for t in batch.column(0).to_pylist()]
-                new = list({w for ws in words for w in ws if w not in index})
-                if new:
-                    if len(index) + len(new) > CACHED_WORDS:
-                        index.clear()
-                        table.clear()
-                        new = list({w for ws in words for w in ws})
-                    start = len(index)
-                    index.update((w, start + k) for k, w in enumerate(new))
-                    table[:] = [np.concatenate([*table, model.score_words(new)])]
-                best, score, fit = zip(*[judge(ws, index, table, model) for ws in words], strict=True)
+                if model:
+                    scores.learn({w for ws in words for w in ws})
+                best, score, fit = zip(*[judge(ws, scores) for ws in words], strict=True)
                 found = [pa.array(best, pa.string()), pa.array(score, pa.float64()), pa.array(fit, pa.float64())]
                 yield pa.RecordBatch.from_arrays(batch.columns[1:] + found, names=schema.names)
 
-    def judge(words, index, table, model) -> tuple[str, float, float | None]:
+    def judge(words, scores) -> tuple[str, float, float | None]:
         if not words:
             return UNDETERMINED, 0.0, None
-        total = table[0][[index[w] for w in words]].sum(0)
+        total = scores.table[[scores.index[w] for w in words]].sum(0)
         k = int(total.argmax())
         chance = 1.0 / np.exp(np.maximum(total - total[k], -700.0)).sum()
-        return model.languages[k], float(chance), float(total[k] / sum(map(len, words)))
+        return scores.model.languages[k], float(chance), float(total[k] / sum(map(len, words)))
 
     return rows.mapInArrow(run, schema)
 

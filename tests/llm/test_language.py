@@ -45,15 +45,36 @@ def test_long_words_go_on_smoothly():
     assert np.allclose(model._long("▁" + "ab" * 15), model.score_words(["ab" * 15])[0])
 
 
-def test_expectations_raise_likelihood():
-    counts = {("x", "abab"): 5, ("x", "bab"): 3, ("y", "cc"): 4, ("y", "ca"): 2}
-    last = -math.inf
+def test_expectations_raise_likelihood(spark):
+    counts = {("x", "abab"): 5, ("x", "bab"): 3, ("y", "cc"): 4, ("y", "ca"): 2, ("x", "ca"): 1}
+    words = sorted({w for _, w in counts})
+    rows = [(w, [float(counts.get((lang, w), 0)) for lang in "xy"]) for w in words]
+    table = spark.createDataFrame(rows, "word string, weights array<double>").repartition(3)
+    last, chances = -math.inf, np.full((10, 2), 0.1)
     for rounds in (1, 2, 4):
-        model = fit_pieces(counts, tiny().vocabulary, rounds, prior=1e-6)
+        model = fit_pieces(table, ["x", "y"], tiny().vocabulary, rounds, prior=1e-6)
         total = sum(n * model.score_words([w])[0, model.languages.index(lang)] for (lang, w), n in counts.items())
         assert total > last
         last = total
         assert np.allclose(model.chances.sum(0), 1)
+        if rounds == 1:  # the uses summed over every segmentation, one by one
+            used = np.zeros((10, 2))
+            for (lang, w), n in counts.items():
+                marked, known = "▁" + w, tiny().vocabulary.pieces
+                ways = []
+                for cuts in itertools.product([0, 1], repeat=len(marked) - 1):
+                    ends = [i + 1 for i, c in enumerate(cuts) if c] + [len(marked)]
+                    parts = [marked[i:j] for i, j in zip([0, *ends], ends)]
+                    if all(p in known or len(p) == 1 for p in parts):
+                        ways.append([known.get(p, 9) for p in parts])
+                shares = np.array([np.prod([chances[p, 0] for p in way]) for way in ways])
+                for way, share in zip(ways, shares / shares.sum()):
+                    for p in way:
+                        used[p, "xy".index(lang)] += n * share
+            used[9] = 0
+            pooled = used.sum(1, keepdims=True) + 0.01
+            mixed = used + 1e-6 * pooled / pooled.sum()
+            assert np.allclose(model.chances, mixed / mixed.sum(0))
 
 
 @pytest.fixture(scope="module")
@@ -109,7 +130,7 @@ def test_small_and_unsegmented_languages_are_learned(spark):
     assert model.languages == ["big", "tiny", "zz"]
     new = spark.createDataFrame([(1, "qrs tuv wrs"), (2, "大小天" * 30), (3, "abc hij")], "doc_id long, text string")
     assert {r["doc_id"]: r["lang_pred"] for r in identify(new, model).collect()} == {1: "tiny", 2: "zz", 3: "big"}
-    few = language.fit_language_model(docs, vocabulary, max_words=20)
+    few = language.fit_language_model(docs, vocabulary, max_docs=60)
     assert few.languages == ["big", "tiny", "zz"]
 
 
