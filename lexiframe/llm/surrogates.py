@@ -13,7 +13,8 @@ MALE = ["Mr", "Herr", "Monsieur", "Sr", "Señor", "г-н"]
 NEUTRAL = ["Dr", "Prof"]
 WORD = r"\p{Lu}[\p{L}\p{M}'’-]+"
 TITLED = r"(?<![\p{L}\p{N}])(" + "|".join(sorted(FEMALE + MALE + NEUTRAL, key=lambda t: (-len(t), t))) + r")\.?\s(" + WORD + r"(?:\s" + WORD + r"){0,2})"
-EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]+\.)+\p{L}{2,}"
+# a domain has at most 127 labels; without the bound a long one would be taken label by label on the stack
+EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@(?:[\p{L}\p{N}-]++\.){1,126}\p{L}{2,}"
 OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 IP = r"(?<![\p{L}\p{N}.])(?:" + OCTET + r"\.){3}" + OCTET + r"(?![\p{L}\p{N}]|\.\p{N})"
 CARD = r"(?<![\p{L}\p{N}])\d(?:[ -]?\d){12,18}(?![\p{L}\p{N}])"
