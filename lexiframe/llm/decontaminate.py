@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexiframe.functions.tokens import let
 from lexiframe.session import lookup_join, materialize
 
-# Placeholders of the canonical text, single characters that no kept token holds.
-NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
+# Placeholders of the canonical text, single characters that no kept token holds; ``FIRST`` marks a capitalised
+# word that begins a sentence, and the last two enclose what a placeholder stands for.
+NAME, NUMBER, UNIT, FIRST, OPEN, CLOSE = "\u0001", "\u0002", "\u0003", "\u0004", "\u0005", "\u0006"
 
 # Words that count as units behind a number.
 UNITS = [
@@ -17,54 +19,90 @@ UNITS = [
     "litres", "seconds", "minutes", "hours", "days", "weeks", "months", "years", "dollars", "euros", "cents", "percent", "degrees",
 ]
 
-BLANKED = "[\u0001\u0002\u0003]"
-NAMES = r"(?<=[\p{Ll},;]\s)\p{Lu}[\p{L}\p{M}]*"
-NUMBERS = r"\p{Nd}+(?:[.,]\p{Nd}+)*"
-AFTER = r"(?<=" + NUMBER + r")(\s?)(?:" + "|".join(
-    (u.replace("$", r"\$") + ("" if not u.isalpha() else r"(?![\p{L}\p{M}])")) for u in sorted(UNITS, key=lambda u: (-len(u), u))
-) + ")"
-TOKENS = r"[\p{L}\p{M}]+|[" + NAME + NUMBER + UNIT + "]"
-
-
-def canonical(text: Column) -> Column:
-    """Lower-cased tokens of a text: words, and placeholders for numbers, units behind numbers, and capitalised words
-    amid a sentence (after a lower-case letter, comma or semicolon and a blank). Punctuation is dropped."""
+BLANKED = f"[{NAME}-{CLOSE}]"
+CAPITAL = r"\p{Lu}[\p{L}\p{M}]*+"
+NAMES = r"(?<=[\p{Ll},;]\s)" + CAPITAL
+FIRSTS = r"(?<![\p{L}\p{M}" + OPEN + "])" + CAPITAL
+NUMBERS = r"\p{Nd}++(?:[.,]\p{Nd}++)*+"  # possessive: lists of numbers are as long as the text
+UNIT_WORDS = "|".join((u.replace("$", r"\$") + ("" if not u.isalpha() else r"(?![\p{L}\p{M}])")) for u in sorted(UNITS, key=lambda u: (-len(u), u)))
+AFTER = f"({NUMBER}{OPEN}[^{CLOSE}]*+{CLOSE})" + r"(\s?)(" + UNIT_WORDS + ")"
+TOKENS = r"[\p{L}\p{M}]+|" + f"[{NAME}{NUMBER}{UNIT}{FIRST}]{OPEN}[^{CLOSE}]*+{CLOSE}"
+#: kinds of placeholders in the two forms of a template: with the words that begin sentences as they are, and as names
+FORMS = {0: [NAME, NUMBER, UNIT], 1: [NAME, NUMBER, UNIT, FIRST]}
+
+
+def valued_tokens(text: Column) -> Column:
+    """Lower-cased tokens of a text: words, and placeholders with what they stand for. Numbers, units behind numbers,
+    capitalised words amid a sentence (after a lower-case letter, comma or semicolon and a blank) and capitalised words
+    elsewhere have placeholders of their own. Punctuation is dropped."""
     value = F.regexp_replace(F.coalesce(text, F.lit("")), BLANKED, " ")
-    value = F.regexp_replace(value, NAMES, NAME)
-    value = F.regexp_replace(value, NUMBERS, f" {NUMBER}")
-    value = F.regexp_replace(value, AFTER, f"$1 {UNIT}")
+    value = F.regexp_replace(value, NAMES, f"{NAME}{OPEN}$0{CLOSE}")
+    value = F.regexp_replace(value, FIRSTS, f"{FIRST}{OPEN}$0{CLOSE}")
+    value = F.regexp_replace(value, NUMBERS, f" {NUMBER}{OPEN}$0{CLOSE}")
+    value = F.regexp_replace(value, AFTER, f"$1$2 {UNIT}{OPEN}$3{CLOSE}")
     return F.regexp_extract_all(F.lower(value), F.lit(TOKENS), F.lit(0))
 
 
-def slot_values(text: Column) -> Column:
-    """What the placeholders of ``canonical`` stand for, in order: the names, then by themselves the numbers."""
-    value = F.regexp_replace(F.coalesce(text, F.lit("")), BLANKED, " ")
-    names = F.regexp_extract_all(value, F.lit(NAMES), F.lit(0))
-    numbers = F.regexp_extract_all(F.regexp_replace(value, NAMES, NAME), F.lit(NUMBERS), F.lit(0))
-    return F.struct(names.alias("names"), numbers.alias("numbers"))
+def _kind(token: Column) -> Column:
+    return F.substring(token, 1, 1)
 
 
-def window_hashes(tokens: str, width: int) -> Column:
-    """A 64-bit hash of each run of ``width`` tokens in the array column ``tokens``; none if it is shorter."""
-    return F.expr(
-        f"CASE WHEN size({tokens}) >= {width} THEN transform(sequence(1, size({tokens}) - {width - 1}), "
-        f"i -> xxhash64(slice({tokens}, i, {width}))) ELSE array() END"
-    )
+def _value(token: Column) -> Column:
+    return F.substring(token, F.lit(3), F.length(token) - 3)
 
 
-def slots(tokens: str, at: str, width: int) -> Column:
-    """``(item slot)`` list of the window of ``width`` tokens at position ``at``: kind and value of each placeholder."""
-    return F.expr(
-        f"filter(transform(sequence({at} + 1, {at} + {width}), i -> CASE "
-        f"WHEN {tokens}[i - 1] = '{NAME}' THEN struct(i - {at} AS i, 'name' AS kind, "
-        f"vals.names[size(filter(slice({tokens}, 1, i), x -> x = '{NAME}')) - 1] AS value) "
-        f"WHEN {tokens}[i - 1] = '{NUMBER}' THEN struct(i - {at} AS i, 'number' AS kind, "
-        f"vals.numbers[size(filter(slice({tokens}, 1, i), x -> x = '{NUMBER}')) - 1] AS value) END), s -> s IS NOT NULL)"
-    )
+def templated(tokens: Column, form: int) -> Column:
+    """The tokens of a form of the template: words and bare placeholders."""
+
+    def plain(t: Column) -> Column:
+        kind = _kind(t)
+        if form == 1:
+            return F.when(kind == FIRST, NAME).when(kind.isin(FORMS[0]), kind).otherwise(t)
+        return F.when(kind == FIRST, _value(t)).when(kind.isin(FORMS[0]), kind).otherwise(t)
+
+    return F.transform(tokens, plain)
+
+
+def canonical(text: Column, form: int = 0) -> Column:
+    """The template of a text: words that begin sentences stay in form 0 and are names in form 1."""
+    return templated(valued_tokens(text), form)
+
+
+def run_of(tokens: Column, at: Column, n: Column | int) -> Column:
+    """The ``n`` tokens from position ``at`` on; ``slice`` inside a lambda would copy the whole array each time."""
+    return F.transform(F.sequence(at, at + n - 1), lambda i: F.get(tokens, i))
 
 
-def _numbered(hashes: Column, width: int) -> Column:
-    return F.transform(hashes, lambda h, i: F.struct(F.lit(width).alias("w"), i.alias("at"), h.alias("hash")))
+def hashed(tokens: list[Column]) -> Column:
+    """A 64-bit hash of some tokens; nulls do not count."""
+    return F.xxhash64(*tokens)
+
+
+def window_hashes(tokens: Column, width: int) -> Column:
+    """The hash of each run of ``width`` tokens; none if there are fewer."""
+    starts = F.when(F.size(tokens) >= width, F.sequence(F.lit(0), F.size(tokens) - width)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: hashed([F.get(tokens, i + j) for j in range(width)]))
+
+
+def windows(tokens: Column, width: int) -> Column:
+    """``(w, at, form, hash)`` of every window: of both forms, the second only where it differs."""
+
+    def of(both: Column) -> Column:
+        first = F.transform(both["a"], lambda h, i: F.struct(F.lit(width).alias("w"), i.alias("at"), F.lit(0).alias("form"), h.alias("hash")))
+        second = F.transform(both["b"], lambda h, i: F.struct(F.lit(width).alias("w"), i.alias("at"), F.lit(1).alias("form"), h.alias("hash")))
+        return F.concat(first, F.filter(second, lambda x: x["hash"] != F.get(both["a"], x["at"])))
+
+    def of_forms(forms: Column) -> Column:
+        return let(F.struct(window_hashes(forms["a"], width).alias("a"), window_hashes(forms["b"], width).alias("b")), of)
+
+    return let(tokens, lambda ts: let(F.struct(templated(ts, 0).alias("a"), templated(ts, 1).alias("b")), of_forms))
+
+
+def slots(window: Column, form: Column) -> Column:
+    """Kind and value of each placeholder of a window of valued tokens, in a form."""
+    kept = F.filter(window, lambda t: _kind(t).isin(FORMS[0]) | ((form == 1) & (_kind(t) == FIRST)))
+    kind = lambda t: F.when(_kind(t) == FIRST, NAME).otherwise(_kind(t))
+    return F.transform(kept, lambda t: F.named_struct(F.lit("kind"), kind(t), F.lit("value"), _value(t)))
 
 
 def contaminated(
@@ -80,9 +118,10 @@ def contaminated(
     """``(key, items, n_items, n_windows)`` for the rows that hold a passage of a benchmark item, and no others.
 
     Both sides become token templates (``canonical``), and windows of ``width`` tokens join by hash, so a question
-    with other numbers, names or units still matches. An item of fewer tokens is one window of its own length.
-    Windows of fewer than ``least_words`` words, placeholders not counted, are not distinctive: they
-    match only where the slots hold the same values too. Then slots are checked: over all windows of a row and an
+    with other numbers, names or units still matches. Capitalised words that begin sentences are names in a second form of
+    a window, as which of them are cannot be told. An item of fewer tokens is one window of its own length.
+    Windows of fewer than ``least_words`` words, placeholders not counted, are not distinctive: they match only where the
+    slots hold the same values too, or where those of an alignment hold ``width`` words together. Then slots are checked: over all windows of a row and an
     item at the same distance, one value of the item must always stand for one value of the row and the other way
     round; of an alignment that breaks this only windows whose slots hold the item's own values count. ``items`` are
     the ids found, sorted.
@@ -91,57 +130,58 @@ def contaminated(
     all that the join sees; only rows that match windows with slots are read again. The benchmark's windows
     are broadcast if their counted table is small enough, and shuffled otherwise.
     """
-    empty = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text")).where(F.col(item).isNotNull())
-    items = empty.select("item", canonical(F.col("text")).alias("tokens"), slot_values(F.col("text")).alias("vals"))
+    items = benchmark.select(F.col(item).alias("item"), valued_tokens(F.col(item_text)).alias("tokens")).where(F.col(item).isNotNull())
     items = materialize(items.where(F.size("tokens") > 0), "templates")
     short = [r["n"] for r in items.where(F.size("tokens") < width).select(F.size("tokens").alias("n")).distinct().collect()]
     widths = sorted({width, *short})  # at most ``width`` numbers
     docs = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.col(text).cast("string").alias("_text"))
 
-    rows, wanted = None, None
-    templated = docs.select("_key", canonical(F.col("_text")).alias("tokens"))
+    wanted = None
     for w in widths:
         size = F.size("tokens")
-        own = items.where((size == w) if w < width else (size >= w))
-        hashed = own.select("item", "tokens", "vals", F.posexplode(window_hashes("tokens", w)).alias("item_at", "hash"))
-        words = F.expr(f"size(filter(slice(tokens, item_at + 1, {w}), x -> x NOT IN ('{NAME}', '{NUMBER}', '{UNIT}')))")
-        part = hashed.select(
-            F.lit(w).alias("w"), "hash", "item", "item_at", words.alias("words"), slots("tokens", "item_at", w).alias("item_slots")
-        )
+        own = items.where((size == w) if w < width else (size >= w)).select("item", "tokens", F.inline(windows(F.col("tokens"), w)))
+        window = run_of(F.col("tokens"), F.col("at"), w)
+        part = own.select("w", "hash", "item", F.col("at").alias("item_at"), F.col("form").alias("item_form"), slots(window, F.col("form")).alias("item_slots"))
         wanted = part if wanted is None else wanted.unionByName(part)
-    wanted = materialize(wanted, "windows")
-    each = F.flatten(F.array(*[_numbered(window_hashes("tokens", w), w) for w in widths])) if len(widths) > 1 else None
-    if each is None:
-        rows = templated.select("_key", F.lit(width).alias("w"), F.posexplode(window_hashes("tokens", width)).alias("at", "hash"))
-    else:
-        rows = templated.select("_key", F.explode(each).alias("x")).select("_key", "x.w", "x.at", "x.hash")
-    found = lookup_join(rows, wanted.select("w", "hash").distinct(), ["w", "hash"], "left_semi")
+    wanted = materialize(wanted.withColumn("words", F.col("w") - F.size("item_slots")), "windows")
+    tokens = valued_tokens(F.col("_text"))
+    each = let(tokens, lambda ts: F.concat(*[windows(ts, w) for w in widths]))
+    found = lookup_join(docs.select("_key", F.inline(each)), wanted.select("w", "hash").distinct(), ["w", "hash"], "left_semi")
     found = materialize(found, "found")
     hits = found.join(wanted, ["w", "hash"])
 
     plain = hits.where((F.size("item_slots") == 0) & (F.col("words") >= least_words)).select("_key", "item", "w", "at")
     slotted = hits.where((F.size("item_slots") > 0) | (F.col("words") < least_words))
     again = slotted.select("_key").distinct()
-    texts = docs.join(materialize(again, "again"), "_key", "left_semi")
-    texts = texts.select("_key", canonical(F.col("_text")).alias("tokens"), slot_values(F.col("_text")).alias("vals"))
-    held = None
-    for w in widths:
-        part = slotted.where(F.col("w") == w).join(texts, "_key").where(F.size("tokens") >= F.col("at") + w)
-        part = part.where(F.xxhash64(F.expr(f"slice(tokens, at + 1, {w})")) == F.col("hash"))
-        part = part.select("_key", "item", "w", "at", "item_at", "words", "item_slots", slots("tokens", "at", w).alias("doc_slots"))
-        held = part if held is None else held.unionByName(part)
+    texts = docs.join(materialize(again, "again"), "_key", "left_semi").select("_key", tokens.alias("tokens"))
+    window = run_of(F.col("tokens"), F.col("at"), F.col("w"))
+    held = slotted.join(materialize(texts, "texts"), "_key").where(F.size("tokens") >= F.col("at") + F.col("w"))
+    # bound once a hit: an expression that is used often would be worked out as often
+    read = let(window, lambda ts: let(
+        F.when(F.col("form") == 0, templated(ts, 0)).otherwise(templated(ts, 1)),
+        lambda xs: F.named_struct(F.lit("tokens"), ts, F.lit("hash"), hashed([F.get(xs, F.lit(j)) for j in range(width)])),
+    ))
+    held = held.select("_key", "item", "w", "at", "item_at", "words", "item_slots", "form", "item_form", "hash", read.alias("read"))
+    held = materialize(held, "held").where("read.hash = hash")
+    window = F.col("read.tokens")
+    bare = lambda t: _kind(t).isin(FORMS[0]) | ((F.col("form") == 1) & (_kind(t) == FIRST))
+    word_at = F.filter(F.transform(window, lambda t, i: F.when(~bare(t), F.col("at") + i)), lambda x: x.isNotNull())
+    # windows of first forms are judged by themselves, and together with those where words that begin sentences are names
+    views = F.when((F.col("form") == 0) & (F.col("item_form") == 0), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(1)))
+    held = held.select("_key", "item", "w", "at", "item_at", "words", "item_slots", F.explode(views).alias("view"), word_at.alias("word_at"), slots(window, F.col("form")).alias("doc_slots"))
     pairs = F.expr("transform(item_slots, (s, i) -> struct(s.kind AS kind, s.value AS mine, doc_slots[i].value AS theirs))")
     held = held.withColumn("pairs", pairs).withColumn("shift", F.col("at") - F.col("item_at"))
     # an alignment has as many windows as the item has at most
-    lined = held.groupBy("_key", "item", "shift").agg(
-        F.collect_list(F.struct("w", "at", "words", "pairs")).alias("windows"),
+    lined = held.groupBy("_key", "item", "shift", "view").agg(
+        F.collect_set(F.struct("w", "at", "words", "pairs")).alias("windows"),
         F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("all"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("word_at")))).alias("covered"),
     )
     one = lambda side: F.size(F.expr(f"array_distinct(transform(all, p -> struct(p.kind AS kind, p.{side} AS v)))"))
     agree = (one("mine") == F.size("all")) & (one("theirs") == F.size("all"))
-    kept = lined.select("_key", "item", agree.alias("agree"), F.explode("windows").alias("x"))
+    kept = lined.select("_key", "item", "covered", agree.alias("agree"), F.explode("windows").alias("x"))
     literal = F.forall("x.pairs", lambda p: p["mine"] == p["theirs"])
-    kept = kept.where(literal | (F.col("agree") & (F.col("x.words") >= least_words)))
+    kept = kept.where(literal | (F.col("agree") & ((F.col("x.words") >= least_words) | (F.col("covered") >= width))))
     every = plain.unionByName(kept.select("_key", "item", "x.w", "x.at"))
     return every.groupBy(F.col("_key").alias(key)).agg(
         F.array_sort(F.collect_set("item")).alias("items"),

@@ -1,3 +1,5 @@
+import time
+
 import pytest
 
 from lexiframe.llm import decontaminate
@@ -24,6 +26,8 @@ def test_placeholders(spark):
     df = spark.createDataFrame([("Then Anna, of Rome, ran 3.5 km in 10kg! She\nwon 20% of it. Ärger 7m",)], "t string")
     got = df.select(canonical(df.t).alias("t")).first()["t"]
     name, number, unit = "\x01\x02\x03"
+    other = df.select(canonical(df.t, 1).alias("t")).first()["t"]
+    assert [t for t, u in zip(got, other) if t != u] == ["then", "she", "ärger"] and {u for t, u in zip(got, other) if t != u} == {name}
     assert got == ["then", name, "of", name, "ran", number, unit, "in", number, unit, "she", "won", number, unit, "of", "it", "ärger", number, unit]
 
 
@@ -58,6 +62,40 @@ def test_copies_with_one_changed_value(spark):
     assert got == {0: [2], 1: [2]}
 
 
+def test_names_that_begin_sentences(spark):
+    items = spark.createDataFrame([(1, "Tom has 3 red pens. Ann gives Tom 5 pens. Tom loses 2 pens. Ann buys 4 pens.")], ITEM_TYPE)
+    docs = [
+        (0, "Bob has 8 red pens. Sue gives Bob 1 pens. Bob loses 6 pens. Sue buys 9 pens."),
+        (1, "Bob has 8 red pens. Sue gives Max 1 pens. Kim loses 6 pens. Lea buys 9 pens."),  # Tom would be three people
+        (2, "They said: Tom has 3 red pens. Ann gives Tom 5 pens. Tom loses 2 pens. Ann buys 4 pens."),
+        (3, "Tom ate. Ann sat. Sue ran. Max hid. Lea won. Kim lost. Bob cried. Eve left."),
+    ]
+    assert ids(contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items)) == {0: [1], 2: [1]}
+
+
+def test_units_are_slots(spark):
+    items = spark.createDataFrame([(1, "a car goes 5 km to town and then another 5 km to work before it stops for good")], ITEM_TYPE)
+    docs = [
+        (0, "a car goes 7 miles to town and then another 7 miles to work before it stops for good"),
+        (1, "a car goes 7 km to town and then another 7 miles to work before it stops for good"),  # km stands for two units
+    ]
+    got = {r["doc_id"]: r["n_windows"] for r in contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert got == {0: 12}
+
+
+def test_long_texts_take_linear_time(spark):
+    item = "a train runs 300 km in 4 hours while another train runs 310 km in 6 hours which one is faster and why"
+    items = spark.createDataFrame([(1, item)], ITEM_TYPE)
+    seconds = []
+    for n in (1000, 4000):
+        docs = spark.createDataFrame([(1, (item.replace("300", "500") + ". ") * n), (2, "1,2,3," * (10 * n) + "4"), (3, "Ab " * n)], "doc_id long, text string")
+        begun = time.perf_counter()
+        rows = contaminated(docs, items).collect()
+        seconds.append(time.perf_counter() - begun)
+        assert [r["doc_id"] for r in rows] == [1] and rows[0]["n_windows"] > 10 * n
+    assert seconds[1] < 12 * seconds[0]
+
+
 def brute(rows, items, width=8):
     import re
 
