@@ -23,6 +23,7 @@ BLANKED = f"[{NAME}-{CLOSE}]"
 CAPITAL = r"\p{Lu}[\p{L}\p{M}]*+"
 NAMES = r"(?<=[\p{Ll},;]\s)" + CAPITAL
 FIRSTS = r"(?<![\p{L}\p{M}" + OPEN + "])" + CAPITAL
+CAPITALS = r"(?<![\p{L}\p{M}])" + CAPITAL
 NUMBERS = r"\p{Nd}++(?:[.,]\p{Nd}++)*+"  # possessive: lists of numbers are as long as the text
 UNIT_WORDS = "|".join((u.replace("$", r"\$") + ("" if not u.isalpha() else r"(?![\p{L}\p{M}])")) for u in sorted(UNITS, key=lambda u: (-len(u), u)))
 AFTER = f"({NUMBER}{OPEN}[^{CLOSE}]*+{CLOSE})" + r"(\s?)(" + UNIT_WORDS + ")"
@@ -64,8 +65,13 @@ def templated(tokens: Column, form: int) -> Column:
 
 
 def canonical(text: Column, form: int = 0) -> Column:
-    """The template of a text: words that begin sentences stay in form 0 and are names in form 1."""
-    return templated(valued_tokens(text), form)
+    """The template of a text, as ``templated(valued_tokens(text), form)`` but without the values: words that begin
+    sentences stay in form 0 and are names in form 1."""
+    value = F.regexp_replace(F.coalesce(text, F.lit("")), BLANKED, " ")
+    value = F.regexp_replace(value, NAMES if form == 0 else CAPITALS, NAME)
+    value = F.regexp_replace(value, NUMBERS, f" {NUMBER}")
+    value = F.regexp_replace(value, f"(?<={NUMBER})" + r"(\s?)(?:" + UNIT_WORDS + ")", f"$1 {UNIT}")
+    return F.regexp_extract_all(F.lower(value), F.lit(r"[\p{L}\p{M}]+|" + f"[{NAME}{NUMBER}{UNIT}]"), F.lit(0))
 
 
 def run_of(tokens: Column, at: Column, n: Column | int) -> Column:
@@ -78,24 +84,25 @@ def hashed(tokens: list[Column]) -> Column:
     return F.xxhash64(*tokens)
 
 
-def window_hashes(tokens: Column, width: int) -> Column:
-    """The hash of each run of ``width`` tokens; none if there are fewer."""
-    starts = F.when(F.size(tokens) >= width, F.sequence(F.lit(0), F.size(tokens) - width)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: hashed([F.get(tokens, i + j) for j in range(width)]))
-
-
-def windows(tokens: Column, width: int) -> Column:
-    """``(w, at, form, hash)`` of every window: of both forms, the second only where it differs."""
+def with_windows(rows: DataFrame, text: str, widths: list[int]) -> DataFrame:
+    """``rows`` without ``text`` and with ``(w, at, form, hash)`` of every window of its template: of both forms, the second
+    only where it differs."""
 
-    def of(both: Column) -> Column:
-        first = F.transform(both["a"], lambda h, i: F.struct(F.lit(width).alias("w"), i.alias("at"), F.lit(0).alias("form"), h.alias("hash")))
-        second = F.transform(both["b"], lambda h, i: F.struct(F.lit(width).alias("w"), i.alias("at"), F.lit(1).alias("form"), h.alias("hash")))
-        return F.concat(first, F.filter(second, lambda x: x["hash"] != F.get(both["a"], x["at"])))
+    def of(forms: Column) -> Column:
+        def run(w: int) -> Column:
+            size = F.size(forms["a"])
+            starts = F.when(size >= w, F.sequence(F.lit(0), size - w)).otherwise(F.array().cast("array<int>"))
+            each = lambda i, c: hashed([F.get(forms[c], i + j) for j in range(w)])
+            return F.transform(starts, lambda i: F.named_struct(F.lit("w"), F.lit(w), F.lit("at"), i, F.lit("a"), each(i, "a"), F.lit("b"), each(i, "b")))
 
-    def of_forms(forms: Column) -> Column:
-        return let(F.struct(window_hashes(forms["a"], width).alias("a"), window_hashes(forms["b"], width).alias("b")), of)
+        return F.concat(*[run(w) for w in widths])
 
-    return let(tokens, lambda ts: let(F.struct(templated(ts, 0).alias("a"), templated(ts, 1).alias("b")), of_forms))
+    kept = [c for c in rows.columns if c != text]
+    forms = F.struct(canonical(F.col(text), 0).alias("a"), canonical(F.col(text), 1).alias("b"))
+    found = rows.select(*kept, F.inline(let(forms, of)))
+    first, second = (F.struct(F.lit(n).alias("form"), F.col(c).alias("hash")) for n, c in ((0, "a"), (1, "b")))
+    both = F.when(F.col("a") == F.col("b"), F.array(first)).otherwise(F.array(first, second))
+    return found.select(*kept, "w", "at", F.inline(both))
 
 
 def slots(window: Column, form: Column) -> Column:
@@ -130,7 +137,8 @@ def contaminated(
     all that the join sees; only rows that match windows with slots are read again. The benchmark's windows
     are broadcast if their counted table is small enough, and shuffled otherwise.
     """
-    items = benchmark.select(F.col(item).alias("item"), valued_tokens(F.col(item_text)).alias("tokens")).where(F.col(item).isNotNull())
+    items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text"), valued_tokens(F.col(item_text)).alias("tokens"))
+    items = items.where(F.col("item").isNotNull())
     items = materialize(items.where(F.size("tokens") > 0), "templates")
     short = [r["n"] for r in items.where(F.size("tokens") < width).select(F.size("tokens").alias("n")).distinct().collect()]
     widths = sorted({width, *short})  # at most ``width`` numbers
@@ -139,21 +147,19 @@ def contaminated(
     wanted = None
     for w in widths:
         size = F.size("tokens")
-        own = items.where((size == w) if w < width else (size >= w)).select("item", "tokens", F.inline(windows(F.col("tokens"), w)))
+        own = with_windows(items.where((size == w) if w < width else (size >= w)), "text", [w])
         window = run_of(F.col("tokens"), F.col("at"), w)
         part = own.select("w", "hash", "item", F.col("at").alias("item_at"), F.col("form").alias("item_form"), slots(window, F.col("form")).alias("item_slots"))
         wanted = part if wanted is None else wanted.unionByName(part)
     wanted = materialize(wanted.withColumn("words", F.col("w") - F.size("item_slots")), "windows")
-    tokens = valued_tokens(F.col("_text"))
-    each = let(tokens, lambda ts: F.concat(*[windows(ts, w) for w in widths]))
-    found = lookup_join(docs.select("_key", F.inline(each)), wanted.select("w", "hash").distinct(), ["w", "hash"], "left_semi")
+    found = lookup_join(with_windows(docs, "_text", widths), wanted.select("w", "hash").distinct(), ["w", "hash"], "left_semi")
     found = materialize(found, "found")
     hits = found.join(wanted, ["w", "hash"])
 
     plain = hits.where((F.size("item_slots") == 0) & (F.col("words") >= least_words)).select("_key", "item", "w", "at")
     slotted = hits.where((F.size("item_slots") > 0) | (F.col("words") < least_words))
     again = slotted.select("_key").distinct()
-    texts = docs.join(materialize(again, "again"), "_key", "left_semi").select("_key", tokens.alias("tokens"))
+    texts = docs.join(materialize(again, "again"), "_key", "left_semi").select("_key", valued_tokens(F.col("_text")).alias("tokens"))
     window = run_of(F.col("tokens"), F.col("at"), F.col("w"))
     held = slotted.join(materialize(texts, "texts"), "_key").where(F.size("tokens") >= F.col("at") + F.col("w"))
     # bound once a hit: an expression that is used often would be worked out as often
