@@ -31,6 +31,15 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+def word_ends(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of a text begin and end, in bytes: the words are those of ``bytes.split``."""
+    data = np.frombuffer(raw, np.uint8)
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
+    turns = np.flatnonzero(np.diff(inside))
+    return turns[::2], turns[1::2]
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that leaves no order."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -155,7 +164,7 @@ def repeated_windows(
     2. The others go back to their texts, which are cut into the passages whose windows share such an anchor. A
        passage goes to the reference shard of its anchor; one whose anchor over ``frequent`` documents hold is cut
        into single windows dealt by their own hash, so no anchor gathers many passages. Equal passages become one,
-       owned by the smallest key.
+       owned by the smallest key. Passages travel as text, which packs far better than the hashes of its words.
     3. In each shard of about ``shard_words`` words the distinct passages build a suffix automaton, whose states know
        the smallest owner, and are streamed through it: each of their windows gets the smallest key that holds it.
     4. A document's window is repeated if that key is smaller than its own.
@@ -203,7 +212,7 @@ def repeated_windows(
             for doc, raw, marks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 values = marks.values.field("hash").to_numpy().view(np.uint64)
                 hot = values[marks.values.field("hot").to_numpy(zero_copy_only=False)]
-                found = passages_of(doc, word_hashes(raw.as_py().split()), values, hot)
+                found = passages_of(doc, raw.as_py(), values, hot)
                 if found:
                     held.append(found)
                     n_held += len(found[0])
@@ -213,7 +222,8 @@ def repeated_windows(
             if held:
                 yield as_batch(held)
 
-    def passages_of(doc: int, hashes: np.ndarray, values: np.ndarray, hot: np.ndarray):
+    def passages_of(doc: int, raw: bytes, values: np.ndarray, hot: np.ndarray):
+        hashes = word_hashes(raw.split())
         own = anchors(hashes, window, k)
         starts = np.flatnonzero(np.isin(own, values))
         if not len(starts):
@@ -225,36 +235,35 @@ def repeated_windows(
         first, last = starts[begin], starts[np.append(begin[1:], len(starts)) - 1] + window
         sums, powers = prefix_sums(hashes)
         keys = np.where(single[begin], span_hashes(sums, powers, first, first + window), own[first])
-        sizes = last - first
-        at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        return np.full(len(first), doc), first, keys, span_hashes(sums, powers, first, last), sizes, hashes[at]
+        begins, ends = word_ends(raw)
+        parts = [raw[b:e] for b, e in zip(begins[first].tolist(), ends[last - 1].tolist(), strict=True)]
+        return np.full(len(first), doc), first, keys, span_hashes(sums, powers, first, last), last - first, parts
 
     def as_batch(held: list[tuple]) -> pa.RecordBatch:
-        doc, first, keys, digests, sizes, words = (np.concatenate(c) for c in zip(*held, strict=True))
-        offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-        columns = [pa.array(c.view(np.int64)) for c in (doc, first.astype(np.int64), keys, digests)]
-        passages = pa.ListArray.from_arrays(offsets, pa.array(words.view(np.int64)))
-        return pa.RecordBatch.from_arrays([*columns, passages], names=["doc", "start", "key", "digest", "passage"])
+        *numbers, parts = zip(*held, strict=True)
+        columns = [pa.array(np.concatenate(c).view(np.int64)) for c in numbers]
+        passages = pa.array([p for part in parts for p in part], pa.binary())
+        return pa.RecordBatch.from_arrays([*columns, passages], names=["doc", "start", "key", "digest", "size", "passage"])
 
     apart = per_doc.where("NOT copy AND size(marks) > 0").select("doc", "marks")
     texts = rows.join(apart, "doc")
-    cut_rows = "doc long, start long, key long, digest long, passage array<long>"
+    cut_rows = "doc long, start long, key long, digest long, size long, passage binary"
     passages = materialize(texts.mapInArrow(cut, cut_rows), "passages")
-    distinct = passages.groupBy("key", "digest").agg(F.min("doc").alias("owner"), F.count("*").alias("n"), F.first("passage").alias("passage"))
+    distinct = passages.groupBy("key", "digest").agg(F.min("doc").alias("owner"), F.first("size").alias("size"), F.first("passage").alias("passage"))
     distinct = materialize(distinct, "distinct")
-    words = distinct.agg(F.sum(F.size("passage"))).first()[0] or 0
+    words = distinct.agg(F.sum("size")).first()[0] or 0
     n_shards = max(n_tasks, -(-int(words) // shard_words))
 
     def match(group: pd.DataFrame) -> pd.DataFrame:
         automaton = SuffixAutomaton()
-        lists = [p.tolist() for p in group["passage"]]
+        lists = [word_hashes(p.split()).tolist() for p in group["passage"]]
         for symbols, owner in zip(lists, group["owner"].tolist(), strict=True):
             automaton.add(symbols, owner)
         automaton.finish()
         firsts = [automaton.first_owners(symbols, window) for symbols in lists]
         return pd.DataFrame({"key": group["key"], "digest": group["digest"], "firsts": firsts})
 
-    owned = distinct.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(n_shards)))
+    owned = distinct.drop("size").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(n_shards)))
     matched = owned.groupBy("shard").applyInPandas(match, "key long, digest long, firsts array<long>")
     # a passage that its owner alone holds, once, says nothing new
     matched = materialize(matched, "matched")

@@ -4,7 +4,8 @@ import re
 
 import pytest
 
-from lexiframe.llm.repeats import SuffixAutomaton, remove_repeats
+from lexiframe.llm import repeats
+from lexiframe.llm.repeats import SuffixAutomaton, remove_repeats, word_ends
 
 from .cases import MEDIUM, documents, edge_docs, edge_rows
 
@@ -72,3 +73,28 @@ def test_edges(spark):
     assert [r["n_removed"] for r in doubled if r["doc_id"] in (None, 6)] == [0] * 4
     assert [r["kept"] for r in doubled if r["doc_id"] == 7] == [""]
     assert found(docs.limit(0)) == {}
+
+
+@pytest.mark.parametrize("text", [b"", b" ", b"a", b"  a\tb\n\x0b\x0c\r c ", "\u00a0\u00e9 \u2003x \x1c\x85 \x00".encode()])
+def test_word_ends_are_those_of_split(text):
+    assert [text[b:e] for b, e in zip(*word_ends(text), strict=True)] == text.split()
+
+
+def test_passages_take_no_more_room_than_their_text(spark, monkeypatch):
+    rng = random.Random(3)
+    common = [" ".join(rng.choice("alpha beta gamma delta eta iota".split()) for _ in range(40)) for _ in range(30)]
+    rows = [(i, f"{i}\t" + " \n ".join(rng.sample(common, 5))) for i in range(200)]
+    sizes = {}
+    real = repeats.materialize
+
+    def spy(df, name="table"):
+        out = real(df, name)
+        if "passage" in out.columns:
+            longs = 8 * sum(f.dataType.simpleString() == "bigint" for f in out.schema.fields)
+            sizes[name] = out.selectExpr("sum(size * 8)", "sum(length(passage))").first()
+            assert longs <= 40
+        return out
+
+    monkeypatch.setattr(repeats, "materialize", spy)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(rows)
+    assert {"passages", "distinct"} <= set(sizes) and all(t < h for h, t in sizes.values())
