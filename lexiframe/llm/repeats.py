@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -77,6 +77,23 @@ def anchors(hashes: np.ndarray, window: int, k: int) -> np.ndarray:
     return least
 
 
+def text_anchors(texts: list[list[bytes]], window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct anchors of each text of at least ``window`` words, and the number of its text beside each."""
+    sizes = np.array([len(words) for words in texts])
+    text = np.repeat(np.arange(len(texts)), sizes)
+    least = anchors(word_hashes(list(chain.from_iterable(texts))), window, k)
+    inside = text[: len(least)] == text[window - 1 :]  # other windows run on into the next text
+    least, text = least[inside], text[: len(least)][inside]
+    new = np.ones(len(least), bool)
+    new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+    least, text = least[new], text[new]
+    order = np.lexsort((least, text))
+    least, text = least[order], text[order]
+    new = np.ones(len(least), bool)
+    new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
+    return least[new], text[new]
+
+
 class SuffixAutomaton:
     """All substrings of a set of word sequences, each state with the smallest owner that holds its strings.
 
@@ -131,18 +148,21 @@ class SuffixAutomaton:
 
     def first_owners(self, symbols: list[int], window: int) -> list[int]:
         """For each window of the sequence, the smallest owner of an equal one: matching statistics, cut to the window."""
+        step, link, size, owner = self.step, self.link, self.size, self.owner
         out, state, length = [], 0, 0
         for n, s in enumerate(symbols):
-            while state and s not in self.step[state]:
-                state = self.link[state]
-                length = self.size[state]
-            if s in self.step[state]:
-                state, length = self.step[state][s], length + 1
-            while state and self.size[self.link[state]] >= window:  # the state of the last ``window`` words alone
-                state = self.link[state]
-                length = self.size[state]
+            to = step[state].get(s)
+            while to is None and state:
+                state = link[state]
+                length = size[state]
+                to = step[state].get(s)
+            if to is not None:
+                state, length = to, length + 1
+            while state and size[link[state]] >= window:  # the state of the last ``window`` words alone
+                state = link[state]
+                length = size[state]
             if n >= window - 1:
-                out.append(self.owner[state] if length >= window else 1 << 62)
+                out.append(owner[state] if length >= window else 1 << 62)
         return out
 
 
@@ -178,23 +198,26 @@ def repeated_windows(
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                out, owners, counts = [], [], []
-                for doc, raw in zip(part.column(0).to_pylist(), part.column(1)):
-                    words = raw.as_py().split()
-                    if len(words) < window:
-                        continue
-                    own = np.unique(anchors(word_hashes(words), window, k))
-                    digest = np.frombuffer(hashlib.md5(b" ".join(words)).digest()[:8], np.uint64)
-                    out += [own, digest]
-                    owners += [doc, doc]
-                    counts += [len(own), 1]
-                if out:
-                    doc = np.repeat(owners, counts)
-                    whole = np.repeat(np.arange(len(counts)) % 2 == 1, counts)
-                    columns = [pa.array(np.concatenate(out).view(np.int64)), pa.array(doc), pa.array(whole)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["hash", "doc", "whole"])
+            held, n_held = [], 0
+            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                words = raw.as_py().split()
+                if len(words) >= window:
+                    held.append((doc, words))
+                    n_held += len(words)
+                if n_held > 50_000:
+                    yield marks_of(held)
+                    held, n_held = [], 0
+            if held:
+                yield marks_of(held)
+
+    def marks_of(held: list[tuple[int, list[bytes]]]) -> pa.RecordBatch:
+        keys = np.array([doc for doc, _ in held])
+        own, at = text_anchors([words for _, words in held], window, k)
+        digests = b"".join(hashlib.md5(b" ".join(words)).digest()[:8] for _, words in held)
+        values = np.concatenate([own, np.frombuffer(digests, np.uint64)]).view(np.int64)
+        whole = np.arange(len(values)) >= len(own)
+        columns = [pa.array(values), pa.array(np.concatenate([keys[at], keys])), pa.array(whole)]
+        return pa.RecordBatch.from_arrays(columns, names=["hash", "doc", "whole"])
 
     # dealt once: grouping and join below both find their rows in place
     marks = rows.mapInArrow(found, "hash long, doc long, whole boolean").repartition(n_tasks, "hash", "whole")
@@ -254,17 +277,19 @@ def repeated_windows(
     words = distinct.agg(F.sum("size")).first()[0] or 0
     n_shards = max(n_tasks, -(-int(words) // shard_words))
 
-    def match(group: pd.DataFrame) -> pd.DataFrame:
-        automaton = SuffixAutomaton()
-        lists = [word_hashes(p.split()).tolist() for p in group["passage"]]
-        for symbols, owner in zip(lists, group["owner"].tolist(), strict=True):
+    def match(group: pa.Table) -> pa.Table:
+        automaton, numbers = SuffixAutomaton(), {}
+        lists = [[numbers.setdefault(w, len(numbers)) for w in p.split()] for p in group["passage"].to_pylist()]
+        for symbols, owner in zip(lists, group["owner"].to_pylist(), strict=True):
             automaton.add(symbols, owner)
         automaton.finish()
-        firsts = [automaton.first_owners(symbols, window) for symbols in lists]
-        return pd.DataFrame({"key": group["key"], "digest": group["digest"], "firsts": firsts})
+        found = [automaton.first_owners(symbols, window) for symbols in lists]
+        offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
+        firsts = pa.ListArray.from_arrays(pa.array(offsets), pa.array(list(chain.from_iterable(found)), pa.int64()))
+        return pa.table({"key": group["key"], "digest": group["digest"], "firsts": firsts})
 
     owned = distinct.drop("size").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(n_shards)))
-    matched = owned.groupBy("shard").applyInPandas(match, "key long, digest long, firsts array<long>")
+    matched = owned.groupBy("shard").applyInArrow(match, "key long, digest long, firsts array<long>")
     # a passage that its owner alone holds, once, says nothing new
     matched = materialize(matched, "matched")
     hits = passages.select("doc", "start", "key", "digest").join(matched, ["key", "digest"])
