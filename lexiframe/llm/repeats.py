@@ -8,29 +8,17 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiframe.llm.worker_cache import only_cache
 from lexiframe.session import materialize
 
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(int(FACTOR), -1, 1 << 64))
-CACHED_WORDS = 400_000
+BYTE_NUMBERS = np.random.default_rng(42).integers(1 << 64, size=256, dtype=np.uint64)
 WHOLE = -1
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """A 64-bit number per word, kept in a bounded cache while a Python worker lives."""
-    known = only_cache("word hashes", dict)
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    for w in set(words).difference(known):
-        known[w] = xxhash.xxh64_intdigest(w)
-    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
 def word_ends(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Where the words of a text begin and end, in bytes: the words are those of ``bytes.split``."""
     data = np.frombuffer(raw, np.uint8)
@@ -62,6 +50,16 @@ def span_hashes(sums: np.ndarray, powers: np.ndarray, first: np.ndarray, last: n
     return mixed((sums[last] - sums[first]) * powers[first] + (last - first).astype(np.uint64))
 
 
+def word_hashes(raw: bytes, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit number per word, from its bytes as a run of words has one from its words; some words at a time."""
+    data, out = np.frombuffer(raw, np.uint8), [np.zeros(0, np.uint64)]
+    for at in range(0, len(begins), 50_000):
+        first, last = begins[at : at + 50_000], ends[at : at + 50_000]
+        sums, powers = prefix_sums(BYTE_NUMBERS[data[first[0] : last[-1]]])
+        out.append(span_hashes(sums, powers, first - first[0], last - first[0]))
+    return np.concatenate(out)
+
+
 def run_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
     """A 64-bit number for each run of ``k`` words."""
     first = np.arange(max(0, len(hashes) - k + 1))
@@ -77,11 +75,15 @@ def anchors(hashes: np.ndarray, window: int, k: int) -> np.ndarray:
     return least
 
 
-def text_anchors(texts: list[list[bytes]], window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct anchors of each text of at least ``window`` words, and the number of its text beside each."""
-    sizes = np.array([len(words) for words in texts])
-    text = np.repeat(np.arange(len(texts)), sizes)
-    least = anchors(word_hashes(list(chain.from_iterable(texts))), window, k)
+def text_anchors(texts: list[bytes], window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct anchors of each text, the number of its text beside each, and the number of words of every text."""
+    raw = b"\n".join(texts)
+    begins, ends = word_ends(raw)
+    text = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), begins, side="right")
+    sizes = np.bincount(text, minlength=len(texts))
+    if len(begins) < window:
+        return np.zeros(0, np.uint64), text[:0], sizes
+    least = anchors(word_hashes(raw, begins, ends), window, k)
     inside = text[: len(least)] == text[window - 1 :]  # other windows run on into the next text
     least, text = least[inside], text[: len(least)][inside]
     new = np.ones(len(least), bool)
@@ -91,7 +93,7 @@ def text_anchors(texts: list[list[bytes]], window: int, k: int) -> tuple[np.ndar
     least, text = least[order], text[order]
     new = np.ones(len(least), bool)
     new[1:] = (least[1:] != least[:-1]) | (text[1:] != text[:-1])
-    return least[new], text[new]
+    return least[new], text[new], sizes
 
 
 class SuffixAutomaton:
@@ -200,23 +202,22 @@ def repeated_windows(
         for batch in batches:
             held, n_held = [], 0
             for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                words = raw.as_py().split()
-                if len(words) >= window:
-                    held.append((doc, words))
-                    n_held += len(words)
-                if n_held > 50_000:
+                held.append((doc, raw.as_py()))
+                n_held += len(held[-1][1])
+                if n_held > 300_000:
                     yield marks_of(held)
                     held, n_held = [], 0
             if held:
                 yield marks_of(held)
 
-    def marks_of(held: list[tuple[int, list[bytes]]]) -> pa.RecordBatch:
+    def marks_of(held: list[tuple[int, bytes]]) -> pa.RecordBatch:
         keys = np.array([doc for doc, _ in held])
-        own, at = text_anchors([words for _, words in held], window, k)
-        digests = b"".join(hashlib.md5(b" ".join(words)).digest()[:8] for _, words in held)
+        own, at, sizes = text_anchors([raw for _, raw in held], window, k)
+        long = sizes >= window
+        digests = b"".join(hashlib.md5(b" ".join(held[n][1].split())).digest()[:8] for n in np.flatnonzero(long))
         values = np.concatenate([own, np.frombuffer(digests, np.uint64)]).view(np.int64)
         whole = np.arange(len(values)) >= len(own)
-        columns = [pa.array(values), pa.array(np.concatenate([keys[at], keys])), pa.array(whole)]
+        columns = [pa.array(values), pa.array(np.concatenate([keys[at], keys[long]])), pa.array(whole)]
         return pa.RecordBatch.from_arrays(columns, names=["hash", "doc", "whole"])
 
     # dealt once: grouping and join below both find their rows in place
@@ -246,7 +247,8 @@ def repeated_windows(
                 yield as_batch(held)
 
     def passages_of(doc: int, raw: bytes, values: np.ndarray, hot: np.ndarray):
-        hashes = word_hashes(raw.split())
+        begins, ends = word_ends(raw)
+        hashes = word_hashes(raw, begins, ends)
         own = anchors(hashes, window, k)
         starts = np.flatnonzero(np.isin(own, values))
         if not len(starts):
@@ -258,7 +260,6 @@ def repeated_windows(
         first, last = starts[begin], starts[np.append(begin[1:], len(starts)) - 1] + window
         sums, powers = prefix_sums(hashes)
         keys = np.where(single[begin], span_hashes(sums, powers, first, first + window), own[first])
-        begins, ends = word_ends(raw)
         parts = [raw[b:e] for b, e in zip(begins[first].tolist(), ends[last - 1].tolist(), strict=True)]
         return np.full(len(first), doc), first, keys, span_hashes(sums, powers, first, last), last - first, parts
 

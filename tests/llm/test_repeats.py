@@ -5,7 +5,7 @@ import re
 import pytest
 
 from lexiframe.llm import repeats
-from lexiframe.llm.repeats import SuffixAutomaton, remove_repeats, word_ends
+from lexiframe.llm.repeats import SuffixAutomaton, remove_repeats, text_anchors, word_ends, word_hashes
 
 from .cases import MEDIUM, documents, edge_docs, edge_rows
 
@@ -80,6 +80,22 @@ def test_word_ends_are_those_of_split(text):
     assert [text[b:e] for b, e in zip(*word_ends(text), strict=True)] == text.split()
 
 
+def test_word_and_text_numbers():
+    """Equal words have equal numbers wherever they stand, others differ; texts beside each other share no window."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("ab\u00e9") for _ in range(rng.randint(1, 6))).encode() for _ in range(60_000)]
+    raw = b" ".join(words)
+    numbers = word_hashes(raw, *word_ends(raw)).tolist()
+    assert len(set(zip(words, numbers, strict=True))) == len(set(words)) == len(set(numbers))
+    texts = [b" ".join(words[at : at + n]) for at, n in ((0, 40), (0, 12), (5, 0), (0, 13), (20, 300))]
+    own, text, sizes = text_anchors(texts, 13, 8)
+    assert sizes.tolist() == [40, 12, 0, 13, 300] and {1, 2}.isdisjoint(text.tolist())
+    for n in (0, 3, 4):
+        alone, _, _ = text_anchors([texts[n]], 13, 8)
+        assert own[text == n].tolist() == alone.tolist() and len(alone)
+    assert len(text_anchors([b"", b"a b"], 13, 8)[0]) == 0
+
+
 def test_passages_take_no_more_room_than_their_text(spark, monkeypatch):
     rng = random.Random(3)
     common = [" ".join(rng.choice("alpha beta gamma delta eta iota".split()) for _ in range(40)) for _ in range(30)]
