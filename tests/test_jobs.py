@@ -158,3 +158,12 @@ def test_entry_points(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).count() > 0
     assert json.dumps(sorted(entry.queries()))
+
+
+def test_all_cores_write_text_files(spark, tmp_path):
+    """A table in one partition is dealt to the cores before a file is written for each of its rows."""
+    texts = spark.range(64).selectExpr("id AS doc_id", "concat('text ', id) AS text").coalesce(1)
+    sinks.write_text_files(texts, str(tmp_path / "files"))
+    parts = {p.name.split("-")[1] for p in (tmp_path / "files").glob("doc_id=*/part-*.txt")}
+    assert len(parts) > spark.sparkContext.defaultParallelism // 2
+    assert sorted(map(tuple, sinks.read_text_files(spark, str(tmp_path / "files")).collect())) == [(i, f"text {i}") for i in range(64)]
