@@ -50,6 +50,15 @@ def fingerprint(text: str | None, width: int) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
 
 
+def majority(hashes: np.ndarray) -> int:
+    """SimHash of 64-bit hashes, as an unsigned number: a bit is set where over half of them set it; 0 without any."""
+    counts = np.zeros(BITS, np.int64)
+    for at in range(0, len(hashes), 1 << 16):
+        part = hashes[at : at + (1 << 16)].astype("<u8")
+        counts += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
     """``(key, fp)`` per row: the 64-bit SimHash of the text's word shingles, as a signed long.
 

@@ -4,6 +4,7 @@ import random
 import pytest
 
 import corpus_pipeline
+from lexiframe.llm import minhash, simhash
 from lexiframe.llm.minhash import drop_near_duplicates
 
 from .cases import MEDIUM, documents, edge_docs, prose
@@ -84,3 +85,18 @@ def test_edges(spark):
     ids = [r["doc_id"] for r in kept.collect()]
     assert None in ids and ids.count(6) == 3 and not {1, 2, 7, 8, 10} & set(ids) and {0, 9} <= set(ids)
     assert drop_near_duplicates(docs.limit(0)).collect() == []
+
+
+def test_fingerprints_alone_drop_the_closest_copies(spark, monkeypatch):
+    """The stage's SimHash step, without the other: what is at most 2 bits apart and alike goes, by brute force."""
+    rows = planted()[0]
+    bits = {k: simhash.majority(minhash.shingles(t, 5)) for k, t in rows}
+    for _, t in rows[:3]:
+        hashes = [int(h) for h in minhash.shingles(t, 5)]
+        assert simhash.majority(minhash.shingles(t, 5)) == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    monkeypatch.setattr(minhash, "near_links", lambda sigs, *_: sigs.selectExpr("rep AS a", "rep AS b").limit(0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.one_of_each(spark, docs, MEDIUM).collect()}
+    want = {b for a, b in alike(rows) if (bits[a] ^ bits[b]).bit_count() <= 2}
+    assert want and kept == {k for k, _ in rows} - want
+    assert simhash.majority(minhash.shingles(None, 5)) == 0
