@@ -103,6 +103,18 @@ def test_mean_vectors(spark):
     assert {r["doc_id"]: list(r["vector"]) for r in means.collect()} == {0: [2.0, 1.0], 1: [0.0, 0.0]}
 
 
+def test_mean_vectors_in_blocks(spark, monkeypatch):
+    """Missing numbers are zeros, listed twice counts twice, and blocks of any size give the same means."""
+    d = docs(spark, "a a b", "zzz", "b c c c", "n", "a n")
+    rows = [("a", [1.0, 0.0]), ("b", [4.0, 3.0]), ("b", [2.0, 1.0]), ("c", [None, 6.0]), ("n", None)]
+    vectors = spark.createDataFrame(rows, "term string, vector array<double>")
+    terms = lx.term_rows(d, tk.words(F.col("text")))
+    want = {0: [2.0, 1.0], 1: [0.0, 0.0], 2: [1.2, 4.4], 3: [0.0, 0.0], 4: [0.5, 0.0]}
+    for size in (1, 1_000_000):
+        monkeypatch.setattr(lx, "VECTOR_BLOCK_TERMS", size)
+        assert {r["doc_id"]: [round(x, 9) for x in r["vector"]] for r in lx.mean_vectors(terms, vectors, d, 2).collect()} == want
+
+
 def test_tagger_plug_point(spark):
     def tagger(batches):
         import pandas as pd
