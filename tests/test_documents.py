@@ -113,6 +113,9 @@ def test_mean_vectors_in_blocks(spark, monkeypatch):
     for size in (1, 1_000_000):
         monkeypatch.setattr(lx, "VECTOR_BLOCK_TERMS", size)
         assert {r["doc_id"]: [round(x, 9) for x in r["vector"]] for r in lx.mean_vectors(terms, vectors, d, 2).collect()} == want
+    for some in (vectors.limit(0), vectors.where("term = 'none'"), spark.createDataFrame([("a", [1.0, 0.0])], vectors.schema)):
+        found = {r["doc_id"]: list(r["vector"]) for r in lx.mean_vectors(terms, some, d, 2).collect()}
+        assert found == {i: [float(some.count() and i in (0, 4)), 0.0] for i in range(5)}
 
 
 def test_tagger_plug_point(spark):
