@@ -180,3 +180,33 @@ def test_redaction():
     assert blanked(text, text_spans([text], None)[0], "[S]") == 'x [S]" y'
     assert blanked(None, [], "[S]") is None
     assert blanked("abcdef", [("assign", 0, 3), ("hex", 2, 4), ("net", 5, 6)], "#") == "#e#"
+
+
+def test_every_window_is_learned_from(spark, monkeypatch):
+    """More windows a label than any cap: all of them reach the shards or the held-out rows, each once."""
+    texts = [f'token = "{random.Random(i).randbytes(20).hex()}" and {prose(i, 3).replace(" ", "-")}-page-number-{i}' for i in range(2600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    seen = []
+    fit, judge = secret_scan.fit_shards, secret_scan.calibrate
+    monkeypatch.setattr(secret_scan, "fit_shards", lambda rows, *a: seen.append(rows) or fit(rows, *a, epochs=2))
+    monkeypatch.setattr(secret_scan, "calibrate", lambda net, rows, *a: seen.append(rows) or judge(net, rows, *a))
+    net = train_net(docs, shard_rows=1000)
+    told = [(r["pos"], r["w"], r["label"]) for rows in seen for r in rows.collect()]
+    want = {(w, int(hit)) for t in texts for s, e, hit in candidates(t, brute(t)) for w in windows(t, s, e)}
+    assert want <= {(w, v) for _, w, v in told} and len({w for w, v in want if v}) > 2500 < len({w for w, v in want if not v})
+    assert sorted(p for p, _, _ in told) == list(range(len(told))) and len(told) == len(want) + sum(v for _, v in want)
+    held = [(w, v) for w, v in ((r["w"], r["label"]) for r in seen[1].collect()) if v]
+    assert (net.chance(codes([w for w, _ in held])) >= net.threshold - 1e-12).mean() >= 0.95
+
+
+def test_one_shard_learns_as_one_table(spark):
+    rng = random.Random(4)
+    rows = [(i, f"{prose(i, 3)[:12]:12}{rng.randbytes(20).hex() if i % 2 else prose(i, 9)[:40]:40}{prose(i, 3)[:12]:12}"[:64], i % 2) for i in range(300)]
+    net = secret_scan.fit_net(codes([w for _, w, _ in rows]), np.array([v for _, _, v in rows]), epochs=3)
+    table = spark.createDataFrame(rows, "pos long, w string, label int").repartition(5)
+    same = secret_scan.fit_shards(table, len(rows), 0.5, 4096, epochs=3)
+    for name in secret_scan.PARTS:
+        assert np.allclose(getattr(net, name), getattr(same, name), rtol=1e-9, atol=1e-12)
+    parted = secret_scan.fit_shards(table, len(rows), 0.5, 60, epochs=12)
+    judged = parted.logits(codes([w for _, w, _ in rows])) > 0
+    assert (judged == np.array([v == 1 for _, _, v in rows])).mean() > 0.95
