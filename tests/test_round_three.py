@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from lexiframe.functions.syllables import GLIDES_WIDE, SOUNDED, SYLLABLE_EXCEPTIONS, syllables_refined
 from lexiframe.operators import stylometry as sty
 
 
@@ -14,3 +15,13 @@ def test_mean_works_its_values_out_once(spark):
         return rows.select(column.alias("v"))._jdf.queryExecution().optimizedPlan().toString().count("length(")
 
     assert times(sty.mean_of(values)) == times(values) == 1
+
+
+def test_refined_syllables_count_vowels_less_glides(spark):
+    words = ["".join(w) for w in ("iao", "ieo", "uouo", "queue", "io", "radio", "ieieie", "yuoa", "b", "area", "ooo", "ia")]
+    rows = spark.createDataFrame([(w,) for w in words], "w string")
+    found = {r["w"]: r["n"] for r in rows.select("w", F.regexp_count("w", F.lit(SOUNDED)).alias("n")).collect()}
+    assert found == {w: sum(map("aeiouy".count, w)) - sum(w.count(g) for g in GLIDES_WIDE) for w in words}
+    known = spark.createDataFrame([(w,) for w in SYLLABLE_EXCEPTIONS], "w string")
+    found = {r["w"]: r["n"] for r in known.select("w", syllables_refined(F.col("w")).alias("n")).collect()}
+    assert found == SYLLABLE_EXCEPTIONS
