@@ -2,12 +2,13 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lexiframe.llm import minhash, simhash
 from lexiframe.llm.minhash import drop_near_duplicates
 
-from .cases import MEDIUM, documents, edge_docs, prose
+from .cases import MEDIUM, documents, edge_docs, joined, prose
 
 
 def grams(text):
@@ -100,3 +101,48 @@ def test_fingerprints_alone_drop_the_closest_copies(spark, monkeypatch):
     want = {b for a, b in alike(rows) if (bits[a] ^ bits[b]).bit_count() <= 2}
     assert want and kept == {k for k, _ in rows} - want
     assert simhash.majority(minhash.shingles(None, 5)) == 0
+
+
+def components(rows):
+    """Smallest key that brute force reaches over links, per key."""
+    return joined([k for k, _ in rows], alike(rows))
+
+
+def chained(n, words, step, seed=3):
+    """Texts of which each is the one before with ``step`` words changed: neighbours are alike, farther ones are not."""
+    rng, text, rows = random.Random(seed), prose(seed, words).split(" "), []
+    for i in range(n):
+        rows.append((i, " ".join(text)))
+        for at in rng.sample(range(words), step):
+            text[at] = f"w{i}x{at}"
+    return rows
+
+
+@pytest.mark.parametrize("direct", [3, 32])
+def test_chains_in_a_crowded_bucket_are_followed(spark, monkeypatch, direct):
+    """All rows in one bucket: a row linked only to rows that are not alike to the bucket's smallest one goes with them."""
+    rows = chained(60, 300, 3) + [(k + 100, t) for k, t in chained(20, 300, 3, seed=9)]
+    rng, base = random.Random(2), prose(1, 300).split(" ")
+    for i in range(30):
+        copy = list(base)
+        for at in rng.sample(range(300), 5 + i % 9):
+            copy[at] = f"v{i}"
+        rows.append((200 + i, " ".join(copy)))
+    order = random.Random(4).sample(range(len(rows)), len(rows))
+    rows = [(order[n], t) for n, (_, t) in enumerate(rows)]
+    signatures = minhash.signatures
+    monkeypatch.setattr(minhash, "signatures", lambda *a: signatures(*a).withColumn("bands", F.expr("array(7L)")))
+    monkeypatch.setattr(minhash, "print_links", lambda sigs, *_: sigs.selectExpr("rep AS a", "rep AS b").limit(0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r["doc_id"] for r in drop_near_duplicates(docs, direct=direct).collect()}
+    assert kept == set(components(rows).values()) and 2 < len(kept) < 60
+
+
+def test_similarities_in_slices(monkeypatch):
+    rng = random.Random(1)
+    sets = [minhash.shingles(" ".join(rng.choice("abcd") for _ in range(rng.choice([0, 3, 200, 900]))), 5) for _ in range(30)]
+    want = [[minhash.similarity(a, b) for b in sets] for a in sets]
+    assert (minhash.similarities(sets) == want).all()
+    monkeypatch.setattr(minhash, "SLICE_SHINGLES", 500)
+    monkeypatch.setattr(minhash, "SLICE_COLUMNS", 16)
+    assert (minhash.similarities(sets) == want).all()
