@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexiframe.sources.readers import read_texts, spread
 
+NO_ID = "__HIVE_DEFAULT_PARTITION__"  # the folder that Spark's writer gives to rows without a key
+
 
 def append_texts(texts: DataFrame, path: str, buckets: int = 64) -> None:
     """Append texts not stored yet. Ids are spread over a fixed number of folders, not one folder per id."""
@@ -21,8 +30,37 @@ def append_texts(texts: DataFrame, path: str, buckets: int = 64) -> None:
 
 
 def write_text_files(texts: DataFrame, path: str) -> None:
-    """One text file per document, below ``doc_id=<id>/``; a file takes milliseconds, so all cores write."""
-    spread(texts.select("doc_id", "text"), "doc_id").write.mode("append").partitionBy("doc_id").text(path)
+    """One text file per document and task, below ``doc_id=<id>/``; every row ends with a line feed.
+
+    In a folder of the file system, local or mounted by all machines, tasks with whole-number ids write the files themselves:
+    without Hadoop's native library its local file system starts a process or two for every file. They are renamed when a
+    task has written all of its own, under names that a repeated task gives again. Elsewhere Spark's writer does it.
+    """
+    rows = spread(texts.select("doc_id", "text"), "doc_id")
+    fs, path_of = _filesystem(texts.sparkSession, path)
+    if fs.getUri().getScheme() != "file" or not isinstance(texts.schema["doc_id"].dataType, T.IntegralType):
+        rows.write.mode("append").partitionBy("doc_id").text(path)
+        return
+    folder, job = fs.makeQualified(path_of(path)).toUri().getPath(), uuid.uuid4().hex
+    rows = rows.select(F.coalesce(F.col("doc_id").cast("string"), F.lit(NO_ID)), F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, seen = f"part-{TaskContext.get().partitionId():05d}-{job}", set()
+        hidden = f".{name}-{TaskContext.get().taskAttemptId()}"
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                at = f"{folder}/doc_id={key}"
+                if key not in seen:
+                    os.makedirs(at, exist_ok=True)
+                with open(f"{at}/{hidden}", "ab" if key in seen else "wb") as file:
+                    file.write(text.encode() + b"\n")
+                seen.add(key)
+        for key in seen:
+            os.replace(f"{folder}/doc_id={key}/{hidden}", f"{folder}/doc_id={key}/{name}.txt")
+        yield pa.RecordBatch.from_arrays([pa.array([len(seen)], pa.int64())], names=["n"])
+
+    os.makedirs(folder, exist_ok=True)
+    rows.mapInArrow(write, "n long").agg(F.sum("n")).collect()
 
 
 def read_text_files(spark: SparkSession, path: str) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexiframe import session
 from lexiframe.operators import topics
+from lexiframe.sources import sinks
 
 
 def files(folder) -> set[str]:
@@ -53,3 +54,27 @@ def test_discard_deletes_scratch_tables_only(spark, tmp_path):
     with pytest.raises(ValueError):
         session.discard(spark.read.parquet(f"{tmp_path}/given"))
     assert spark.read.parquet(f"{tmp_path}/given").count() == 3
+
+
+def test_text_files_are_those_of_sparks_writer(spark, tmp_path):
+    rows = [(1, "one"), (2, None), (2, None), (None, "no id"), (3, "two\nlines\n"), (-4, "below"), (5, ""), (7, "Ä\u0000\r\n"), (7, "Ä\u0000\r\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def read(path):
+        found = [(str(p.parent.relative_to(path)), p.read_bytes()) for p in Path(path).rglob("*.txt") if not p.name.startswith(".")]
+        return sorted(found)
+
+    sinks.spread(docs, "doc_id").write.partitionBy("doc_id").text(f"{tmp_path}/spark")
+    for _ in range(2):
+        sinks.write_text_files(docs, f"{tmp_path}/own")
+    assert read(f"{tmp_path}/own") == sorted(2 * read(f"{tmp_path}/spark"))
+    assert not [p for p in (tmp_path / "own").rglob(".*") if p.is_file()]
+    once = sinks.read_text_files(spark, f"{tmp_path}/spark")
+    assert sorted(map(tuple, sinks.read_text_files(spark, f"{tmp_path}/own").distinct().collect())) == sorted(map(tuple, once.collect()))
+
+
+def test_no_hadoop_file_is_made_per_document(spark, tmp_path):
+    """Hadoop's local file system leaves a checksum beside each file it makes, and starts processes for it."""
+    docs = spark.range(200).selectExpr("id AS doc_id", "repeat('x', 10) AS text")
+    sinks.write_text_files(docs, f"{tmp_path}/texts")
+    assert not list((tmp_path / "texts").rglob("*.crc")) and sinks.read_text_files(spark, f"{tmp_path}/texts").count() == 200
